@@ -19,12 +19,12 @@ PARSE_MISSING = ["", "not specified", "n/a", "none"]
 #: Placeholders of the test tables.
 DATA_MISSING = ["", "not specified", "not_specified", "not available", "n/a", "na", "none", "null", "-"]
 
-_BLANKS = r"^[\s ]+|[\s ]+$"
+_BLANKS = " \t\n\x0b\f\r\u00a0"
 
 
 def trimmed(c: Column) -> Column:
     """Without outer blanks of any kind (space, tab, line ends, no-break space)."""
-    return F.regexp_replace(c, _BLANKS, "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def missing(c: Column, members: list[str] = DATA_MISSING) -> Column:

@@ -14,8 +14,6 @@ wrapping quotes and the brackets of a JSON-like list are removed; a cut-off last
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postgrove.contract import known, trimmed
@@ -25,9 +23,12 @@ DELIMITERS = {"comma": ",", "semicolon": ";", "pipe": "|", "line": r"\n\r", "tab
 MIN_SUPPORT = 20
 MIN_CONSISTENCY = 0.5
 MIN_REGULARITY = 0.8
+MAX_SOURCES = 1000
 
 _RUNS = r'"[^"]*+(?:"|\z)|\((?:[^()]++|\([^()]*+\))*+(?:\)|\z)'
-_REGULAR = r'^["\[•▪]?[\p{L}\p{N}.][^"]{0,59}"?\]?$'
+#: A regular piece begins like a value, after blanks, list marks or an opening quote, and has at most REGULAR_LENGTH characters.
+_REGULAR = r'\A[\s •▪*"\[-]*+[\p{L}\p{N}.(]'
+REGULAR_LENGTH = 90
 
 
 def piece_pattern(names: list[str]) -> str:
@@ -42,9 +43,19 @@ def _outer(v: Column) -> Column:
     return F.regexp_replace(trimmed(v), r"(?s)\A\[(.*?)\]?\z", "$1")
 
 
+_OUTER = " \t\n\r\u00a0•▪"
+
+
 def _items(pieces: Column) -> Column:
-    bare = lambda x: F.regexp_replace(F.regexp_replace(trimmed(x), r"\A(?:[-*•▪–—]+|\d{1,3}[.)])(?:[\s ]+|\z)", ""), r'(?s)\A"([^"]*)"\z', "$1")
-    return F.filter(F.transform(pieces, lambda x: trimmed(bare(x))), lambda x: F.length(x) > 0)
+    """The values of the pieces: regular expressions run only where a first character calls for one."""
+
+    mark = lambda x: F.when(
+        x.rlike(r"\A[-*–—\d]"), F.btrim(F.regexp_replace(x, r"\A(?:[-*–—]+|\d{1,3}[.)])(?:[\s ]+|\z)", ""), F.lit(_OUTER))
+    ).otherwise(x)
+    unquoted = lambda x: F.when(x.rlike(r'\A"[^"]*"\z'), F.btrim(x, F.lit(_OUTER + '"'))).otherwise(x)
+    # One transform a step: a lambda's argument is evaluated once, a nested expression as often as it is named.
+    steps = F.transform(F.transform(F.transform(pieces, lambda x: F.btrim(x, F.lit(_OUTER))), mark), unquoted)
+    return F.filter(steps, lambda x: F.length(x) > 0)
 
 
 def long_form(df: DataFrame, key: str, source: Column, fields: list[str]) -> DataFrame:
@@ -63,20 +74,21 @@ def infer_delimiters(texts: DataFrame) -> DataFrame:
     def stat(name: str) -> Column:
         # Only texts that hold the delimiter are cut; the others give null and are not counted.
         held = F.col("__v").rlike(r"\s/\s" if name == "slash" else f"[{DELIMITERS[name]}]")
-        pieces = _items(F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern([name])), 0))
-        fit = F.transform(pieces, lambda x: F.regexp_replace(x, r"\(.*?\)|/", "").rlike(_REGULAR).cast("int"))
-        n = F.size(pieces)
-        return F.when(held, F.struct(n.alias("n"), F.aggregate(fit, F.lit(0), lambda a, b: a + b).alias("ok")))
+        pieces = F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern([name])), 0)
+        regular = lambda x: (F.length(x) <= REGULAR_LENGTH) & x.rlike(_REGULAR)
+        full = F.filter(pieces, lambda x: F.length(F.ltrim(x)) > 0)
+        # Bound once inside a lambda: [pieces, regular pieces].
+        return F.when(held, F.transform(F.array(full), lambda p: F.array(F.size(p), F.size(F.filter(p, regular))))[0])
 
     per = texts.select("__source", "field", *[stat(n).alias(n) for n in DELIMITERS])
     sums = [
         x
         for n in DELIMITERS
         for x in (
-            F.count(F.when(F.col(f"{n}.n") > 1, 1)).alias(f"{n}_many"),
+            F.count(F.when(F.col(n)[0] > 1, 1)).alias(f"{n}_many"),
             F.count(F.when(F.col(n).isNotNull(), 1)).alias(f"{n}_held"),
-            F.sum(F.when(F.col(f"{n}.n") > 1, F.col(f"{n}.n"))).alias(f"{n}_pieces"),
-            F.sum(F.when(F.col(f"{n}.n") > 1, F.col(f"{n}.ok"))).alias(f"{n}_ok"),
+            F.sum(F.when(F.col(n)[0] > 1, F.col(n)[0])).alias(f"{n}_pieces"),
+            F.sum(F.when(F.col(n)[0] > 1, F.col(n)[1])).alias(f"{n}_ok"),
         )
     ]
     by = per.groupBy("__source", "field").agg(*sums)
@@ -101,24 +113,30 @@ def infer_delimiters(texts: DataFrame) -> DataFrame:
 
 
 def split_packed(df: DataFrame, key: str, fields: list[str], source: Column | None = None) -> DataFrame:
-    """(key, field, pos, item) of every text that holds two values or more."""
+    """(key, field, pos, item) of every text that holds two values or more.
+
+    The inference is a job of its own over all rows.  Its result, a row for each source, field and delimiter, comes
+    to the driver only if it has at most ``MAX_SOURCES`` rows; a wider one stays distributed and is joined by key.
+    """
     texts = long_form(df, key, F.coalesce(source, F.lit("")) if source is not None else F.lit(""), fields)
     names = list(DELIMITERS)
-    accepted = (
-        infer_delimiters(texts).groupBy("__source", "field")
-        .agg(*[F.max(F.when(F.col("name") == n, F.col("accepted"))).alias(f"__{n}") for n in names])
-    )
-    every = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"__{n}"), F.lit(True)) for n in names])
-    chars = F.concat(*[F.when(F.coalesce(F.col(f"__{n}"), F.lit(True)), F.lit(DELIMITERS[n])).otherwise("") for n in names])
-    slash = F.when(F.coalesce(F.col("__slash"), F.lit(True)), F.lit(r"/(?!\s)|(?<!\s)/")).otherwise("/")
-    own = F.concat(F.lit(rf"(?s)(?:{_RUNS}|"), slash, F.lit("|[^"), chars, F.lit('/"(])++'))
-    # The usual case keeps a literal pattern, compiled once; the table of patterns has sources x fields rows.
-    pieces = F.when(every, F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern(names)), 0)).otherwise(
-        F.regexp_extract_all(F.col("__v"), own, 0)
-    )
-    found = texts.join(accepted, ["__source", "field"], "left").select(F.col(key), "field", _items(pieces).alias("__i"))
+    refused = infer_delimiters(texts).filter(~F.col("accepted")).groupBy("__source", "field").agg(F.collect_set("name").alias("__no"))
+    known_ = refused.limit(MAX_SOURCES + 1).collect()
+    literal = F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern(names)), 0)  # compiled once
+    if not known_:
+        pieces = literal
+    else:
+        if len(known_) <= MAX_SOURCES:
+            refused = F.broadcast(df.sparkSession.createDataFrame(known_, refused.schema))
+        texts = texts.join(refused, ["__source", "field"], "left")
+        no = lambda n: F.coalesce(F.array_contains("__no", n), F.lit(False))
+        chars = F.concat(*[F.when(no(n), "").otherwise(F.lit(DELIMITERS[n])) for n in names])
+        slash = F.when(no("slash"), "/").otherwise(r"/(?!\s)|(?<!\s)/")
+        own = F.concat(F.lit(rf"(?s)(?:{_RUNS}|"), slash, F.lit("|[^"), chars, F.lit('/"(])++'))
+        pieces = F.when(F.col("__no").isNull(), literal).otherwise(F.regexp_extract_all(F.col("__v"), own, 0))
+    # Bound once inside a lambda, so that the test of its size does not compute it again.
+    many = F.transform(F.array(_items(pieces)), lambda i: F.when(F.size(i) > 1, i))[0]
     return (
-        found.filter(F.size("__i") > 1)
-        .select(F.col(key), "field", F.posexplode("__i").alias("__p", "item"))
+        texts.select(F.col(key), "field", F.posexplode(many).alias("__p", "item"))
         .select(F.col(key), "field", (F.col("__p") + 1).cast("int").alias("pos"), "item")
     )
