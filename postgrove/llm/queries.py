@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postgrove.functions.timeparse import parse_instant
+from postgrove.llm.canonical import map_places
 from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
@@ -34,6 +35,10 @@ CASE WHEN nl IS NOT NULL THEN site_l || ':' || nl WHEN nj IS NOT NULL THEN src |
     regexp_replace(lower(trim(job_id)), '^(?:(?:linkedin|naukri|indeed)[\s_:.-]*)*', '') AS j,
     regexp_extract(regexp_replace(lower(source), '[^a-z]', '', 'g'), '^(linkedin|naukri|indeed)', 1) AS src"""
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return map_places(table(spark, d, "jobs"), table(spark, d, "city_ref"), "row_id")
+
+
 def _cluster_values(spark: SparkSession, d: str) -> DataFrame:
     """(cluster_id, row_id, field, value, cut, trust, at) of the clustered rows, one for each field."""
     jobs = table(spark, d, "jobs").select("row_id", site(F.col("source")).alias("site"), "collected_at", "degree_required", "skills")
@@ -57,7 +62,7 @@ def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
     return survivors(_cluster_values(spark, d), "cluster_id", "field", "value", "row_id", weight=weight)
 
 
-QUERIES = {"p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (
