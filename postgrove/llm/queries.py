@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postgrove.functions.timeparse import parse_instant
+from postgrove.llm.boilerplate import main_text, page_lines
 from postgrove.llm.canonical import map_places
 from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
@@ -35,6 +36,14 @@ CASE WHEN nl IS NOT NULL THEN site_l || ':' || nl WHEN nj IS NOT NULL THEN src |
     regexp_replace(lower(trim(job_id)), '^(?:(?:linkedin|naukri|indeed)[\s_:.-]*)*', '') AS j,
     regexp_extract(regexp_replace(lower(source), '[^a-z]', '', 'g'), '^(linkedin|naukri|indeed)', 1) AS src"""
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return page_lines(table(spark, d, "jobs"), "row_id", "full_description", "company")
+
+
+def p3_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return main_text(table(spark, d, "jobs"), "row_id", "full_description", "company")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return map_places(table(spark, d, "jobs"), table(spark, d, "city_ref"), "row_id")
 
@@ -62,7 +71,7 @@ def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
     return survivors(_cluster_values(spark, d), "cluster_id", "field", "value", "row_id", weight=weight)
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+QUERIES = {"p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (
