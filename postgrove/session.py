@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,3 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows up to which a small side may be broadcast.
+SMALL = 100_000
+
+
+def bounded(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """The frame with a broadcast hint if a count shows at most ``most`` rows; else as it is, to be joined by key."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once as Parquet in the shared folder and read back: cuts lineage, survives the loss of executors."""
+    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
