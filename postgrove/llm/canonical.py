@@ -22,8 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from postgrove.contract import known
+from postgrove.session import SMALL, bounded
 
-SMALL = 100_000
 THRESHOLD = 0.25
 
 #: Postal abbreviations of the states.
@@ -37,11 +37,6 @@ MARKED = "āáàâäãåăąçćčďēéèêëěęğīíìîïłñńňōóòôö
 PLAIN = "aaaaaaaaacccdeeeeeeegiiiiilnnnoooooooorrsssttuuuuuuuyyzzz"
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Broadcast only what a count shows to be small."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def plain_words(c: Column) -> Column:
     """Lower-case text of letters and blanks: marks, zero-width characters and glued capitals undone."""
     t = F.regexp_replace(c, r"[\x{200B}-\x{200F}\x{2060}\x{FEFF}\x{00AD}\p{Mn}]", "")
@@ -70,7 +65,7 @@ def similarity_join(left: DataFrame, right: DataFrame, key: str, other: str, tok
     Keys must be distinct; empty sets match nothing.
     """
     counts = left.select(F.explode(tokens).alias("__t")).unionAll(right.select(F.explode(tokens).alias("__t"))).groupBy("__t").agg(F.count("*").alias("__f"))
-    counts = _bounded(counts)
+    counts = bounded(counts)
 
     def prefixed(df: DataFrame, k: str, tag: str) -> DataFrame:
         each = df.select(F.col(k), F.explode(tokens).alias("__t")).join(counts, "__t")
@@ -84,7 +79,7 @@ def similarity_join(left: DataFrame, right: DataFrame, key: str, other: str, tok
     rest = 1 + F.least(F.col("__an") - F.col("__ai") - 1, F.col("__bn") - F.col("__bi") - 1)
     lengths = (F.col("__an") >= F.col("__bn") * threshold - 1e-9) & (F.col("__bn") >= F.col("__an") * threshold - 1e-9)
     # A pair is met first at the first token both prefixes share; only there does the positional bound hold.
-    met = a.join(_bounded(b), "__t").filter(lengths & (rest >= need))
+    met = a.join(bounded(b), "__t").filter(lengths & (rest >= need))
     pairs = met.groupBy(key, other).agg(F.first("__as").alias("__as"), F.first("__bs").alias("__bs"))
     same = F.size(F.array_intersect("__as", "__bs"))
     return pairs.withColumn("jaccard", same / (F.size("__as") + F.size("__bs") - same)).filter(F.col("jaccard") >= threshold).select(key, other, "jaccard")
@@ -162,7 +157,7 @@ def map_places(rows: DataFrame, places: DataFrame, key: str, city: str = "city",
     entries = places.select("city_id", F.col("city").alias("__c"), F.col("state").alias("__s"), "other_names")
     literal = entries.select("__c", "__s").distinct()
     asked = rows.select(F.col(key), F.col(city).alias("__city"), F.col(state).alias("__state")).filter(known(F.col("__city")).isNotNull())
-    asked = asked.join(_bounded(literal), (F.col("__city") == F.col("__c")) & (F.col("__state") == F.col("__s")), "left_anti")
+    asked = asked.join(bounded(literal), (F.col("__city") == F.col("__c")) & (F.col("__state") == F.col("__s")), "left_anti")
     texts = asked.groupBy("__city", F.coalesce("__state", F.lit("")).alias("__given")).agg(F.lit(1).alias("__one")).drop("__one")
 
     spelt = entries.select("city_id", F.lower("__s").alias("__s"), F.explode(F.array_compact(F.array("__c", "other_names"))).alias("__n"))
@@ -184,7 +179,7 @@ def map_places(rows: DataFrame, places: DataFrame, key: str, city: str = "city",
     ).filter((F.length("__w") > 2) & (F.length("__w") <= longest))
     asked_words = words.select("__w").distinct().select("__w", bigrams(squeezed(F.col("__w"))).alias("__b"))
     close = similarity_join(asked_words, names, "__w", "__name", "__b", THRESHOLD)
-    near = words.join(close, "__w").join(_bounded(spelt), "__name")
+    near = words.join(close, "__w").join(bounded(spelt), "__name")
     given = plain_words(F.coalesce(known(F.col("__given")), F.lit("")))
     # What the city text says beside the word itself may name a state.
     beside = F.trim(F.regexp_replace(F.concat(F.lit(" "), F.col("__plain"), F.lit(" ")), F.concat(F.lit(" "), F.col("__w"), F.lit(" ")), " "))

@@ -12,6 +12,7 @@ from postgrove.llm.canonical import map_places
 from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
+from postgrove.llm.spam import score_pages, spam_pages
 from postgrove.llm.survivor import survivors
 from postgrove.session import shared_dir, table
 
@@ -71,7 +72,15 @@ def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
     return survivors(_cluster_values(spark, d), "cluster_id", "field", "value", "row_id", weight=weight)
 
 
-QUERIES = {"p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam_pages(table(spark, d, "documents"))
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return score_pages(table(spark, d, "documents"))
+
+
+QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (
