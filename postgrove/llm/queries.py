@@ -12,6 +12,7 @@ from postgrove.llm.canonical import map_places
 from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
+from postgrove.llm.linkage import link
 from postgrove.llm.spam import score_pages, spam_pages
 from postgrove.llm.survivor import survivors
 from postgrove.session import shared_dir, table
@@ -37,6 +38,23 @@ CASE WHEN nl IS NOT NULL THEN site_l || ':' || nl WHEN nj IS NOT NULL THEN src |
     regexp_replace(lower(trim(job_id)), '^(?:(?:linkedin|naukri|indeed)[\s_:.-]*)*', '') AS j,
     regexp_extract(regexp_replace(lower(source), '[^a-z]', '', 'g'), '^(linkedin|naukri|indeed)', 1) AS src"""
 
+def _linked(spark: SparkSession, d: str) -> DataFrame:
+    f = F.col
+    return link(
+        table(spark, d, "jobs"), table(spark, d, "raw_postings"), "row_id", "posting_id",
+        {"title": f("title"), "company": f("company"), "place": f("city"), "text": f("full_description")},
+        {"title": f("title"), "company": f("company"), "place": f("location"), "text": f("job_description_summary")},
+    )
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d).select("row_id", "posting_id")
+
+
+def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return page_lines(table(spark, d, "jobs"), "row_id", "full_description", "company")
 
@@ -80,7 +98,7 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return score_pages(table(spark, d, "documents"))
 
 
-QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_confidence": p1_confidence, "p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (
