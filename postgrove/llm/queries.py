@@ -13,9 +13,12 @@ from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
 from postgrove.llm.linkage import link
+from postgrove.llm.mixing import mix, mixture_report
+from postgrove.llm.packing import pack
 from postgrove.llm.spam import score_pages, spam_pages
 from postgrove.llm.survivor import survivors
-from postgrove.session import shared_dir, table
+from postgrove.llm.tokens import token_count
+from postgrove.session import shared_dir, stored, table
 
 _MISSING = "('', 'not specified', 'not_specified', 'not available', 'n/a', 'na', 'none', 'null', '-')"
 
@@ -98,7 +101,31 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return score_pages(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_confidence": p1_confidence, "p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Every speech in containers of each capacity."""
+    sized = stored(table(spark, d, "documents").select("doc_id", token_count(F.col("text")).alias("n")), "tokens")
+    out = None
+    for r in table(spark, d, "pack_bins").orderBy("bin_type").collect():  # three rows, fixed
+        one = pack(sized, "doc_id", F.col("n"), r.capacity_tokens).select(F.lit(r.bin_type).alias("bin_type"), "bin_id", "slot", "doc_id", "piece", "tokens")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers used and the share of their room that is filled."""
+    used = p8_packed(spark, d).filter("bin_id IS NOT NULL").groupBy("bin_type").agg(F.max("bin_id").alias("bins"), F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"))
+    return used.join(F.broadcast(table(spark, d, "pack_bins")), "bin_type").select("bin_type", "capacity_tokens", "bins", "pieces", "tokens", (F.col("tokens") / (F.col("bins") * F.col("capacity_tokens"))).alias("filled"))
+
+
+def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mix(table(spark, d, "documents"), table(spark, d, "source_weights"), "doc_id", "source", token_count(F.col("text")))
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixture_report(p9_mixed(spark, d), table(spark, d, "source_weights"))
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixed": p9_mixed, "p9_report": p9_report, "p1_found": p1_found, "p1_confidence": p1_confidence, "p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (
