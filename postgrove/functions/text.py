@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from postgrove.contract import NOT_SPECIFIED
+from postgrove.contract import NOT_SPECIFIED, trimmed
 
 #: The entities decoded, the ampersand last.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&rsquo;", "’"), ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&")]
@@ -59,7 +59,7 @@ def slugify(c: Column) -> Column:
 
 def split_list(c: Column, pattern: str = ",") -> Column:
     """Pieces, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(c, pattern), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, pattern), trimmed), lambda x: x != "")
 
 
 def parse_bool(c: Column, invalid: Column | None = None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postgrove.contract import NOT_SPECIFIED
+from postgrove.contract import NOT_SPECIFIED, trimmed
 
 #: Page bounds.
 PAGE_LEAST, PAGE_MOST, PAGE_USUAL = 10, 100, 25
@@ -72,9 +72,9 @@ def top(df: DataFrame, by: list[Column], k: int, keep: Column | None = None) ->
 
 
 def missing_to_other(c: Column) -> Column:
-    v = F.trim(c)
+    v = trimmed(c)
     return F.when(v.isNull() | (v == ""), "Other").otherwise(v)
 
 
 def specified(c: Column) -> Column:
-    return c.isNotNull() & (F.trim(c) != "") & (F.lower(F.trim(c)) != NOT_SPECIFIED.lower())
+    return c.isNotNull() & (trimmed(c) != "") & (F.lower(trimmed(c)) != NOT_SPECIFIED.lower())
