@@ -63,22 +63,30 @@ REPORTED = [
 ]
 
 
+def _names(low: Column, names: list[str]) -> Column:
+    """Whether one of the names stands as a word; the pattern runs only where the letters occur at all."""
+    out = F.lit(False)
+    for n in names:
+        out = out | (low.contains(n) & low.rlike(word(n)))
+    return out
+
+
 def catalog_skills(text: Column) -> Column:
     """array<struct(category, skill, evidence)> in catalogue order; the first name found is the evidence."""
     low = F.lower(text)
     found = []
     for category, skills in CATALOG.items():
         for skill, names in skills.items():
-            evidence = F.coalesce(*[F.when(low.rlike(word(n)), F.lit(n)) for n in names])
-            found.append(F.when(low.rlike("|".join(word(n) for n in names)), F.struct(F.lit(category).alias("category"), F.lit(skill).alias("skill"), evidence.alias("evidence"))))
+            evidence = F.coalesce(*[F.when(low.contains(n) & low.rlike(word(n)), F.lit(n)) for n in names])
+            found.append(F.when(_names(low, names), F.struct(F.lit(category).alias("category"), F.lit(skill).alias("skill"), evidence.alias("evidence"))))
     return F.array_compact(F.array(*found))
 
 
 def extract_skills(text: Column) -> Column:
     """The catalogue skills named in a text, joined by commas; the placeholder where none is."""
-    low = F.lower(text)
-    names = F.array_compact(F.array(*[F.when(low.rlike("|".join(word(n) for n in a)), skill) for skills in CATALOG.values() for skill, a in skills.items()]))
-    return F.when(F.size(names) > 0, F.array_join(names, ", ")).otherwise(NOT_SPECIFIED)
+    found = lambda low: F.array_compact(F.array(*[F.when(_names(low, a), skill) for skills in CATALOG.values() for skill, a in skills.items()]))
+    names = F.array_join(F.transform(F.array(F.lower(text)), found)[0], ", ")
+    return F.when(F.length(F.coalesce(names, F.lit(""))) > 0, names).otherwise(NOT_SPECIFIED)
 
 
 def labelled_skills(text: Column) -> Column:
@@ -109,4 +117,4 @@ def names_skill(text: Column, skill: str) -> Column:
 def reported_skills(skills: Column, description: Column) -> Column:
     """Which of the reported skills a posting names, each once."""
     blob = F.lower(F.concat_ws(" ", skills, description))
-    return F.array_compact(F.array(*[F.when(blob.rlike(word(s.lower())), s) for s in REPORTED]))
+    return F.transform(F.array(blob), lambda low: F.array_compact(F.array(*[F.when(_names(low, [s.lower()]), s) for s in REPORTED])))[0]

@@ -47,19 +47,22 @@ def posted_instant(c: Column, now: Column) -> Column:
         .when(v.rlike(r"\byesterday\b"), back(F.lit(86400.0))).when(days.isNotNull(), back(days * 86400)).when(weeks.isNotNull(), back(weeks * 604800))
         .when(months.isNotNull(), back(months * 2592000))
     )
-    dated = v.rlike(r"^\d{4}-\d{1,2}|^\d{1,2}[-/ ]|^\d{4}/")
+    dated = v.rlike(r"^\d{4}[-/]\d{1,2}|^\d{1,2}[-/]\d|^\d{1,2} [a-z]{3} \d{4}")
     return F.when(~dated & relative.isNotNull(), relative).otherwise(parse_instant(text))
 
 
 def within_recency(c: Column, now: Column, hours: float, strict: bool = False) -> Column:
     """Fresh within the window and its tolerance; unknown dates pass unless strict; the future does not."""
-    at = posted_instant(c, now)
     buffer = 3.0 if hours >= 24 else 0.5
-    age = (F.unix_micros(now) - F.unix_micros(at)) / 3.6e9
     only_date = trimmed(c).rlike(r"^\d{4}-\d{2}-\d{2}$")
     days = max(1, int(hours // 24))
-    by_date = (F.to_date(at) == F.to_date(now)) if hours < 24 else (F.to_date(at) >= F.date_sub(F.to_date(now), days))
-    return F.when(at.isNull(), F.lit(not strict)).when(only_date, by_date & (F.to_date(at) <= F.to_date(now))).otherwise((age <= hours + buffer) & (age >= -0.2))
+
+    def fits(at: Column) -> Column:
+        age = (F.unix_micros(now) - F.unix_micros(at)) / 3.6e9
+        by_date = (F.to_date(at) == F.to_date(now)) if hours < 24 else (F.to_date(at) >= F.date_sub(F.to_date(now), days))
+        return F.when(at.isNull(), F.lit(not strict)).when(only_date, by_date & (F.to_date(at) <= F.to_date(now))).otherwise((age <= hours + buffer) & (age >= -0.2))
+
+    return F.transform(F.array(posted_instant(c, now)), fits)[0]  # the instant is bound once
 
 
 def ist_stamp(c: Column, layout: str = "yyyy-MM-dd HH:mm:ss") -> Column:
