@@ -169,7 +169,7 @@ def map_places(rows: DataFrame, places: DataFrame, key: str, city: str = "city",
     states = [r[0] for r in entries.select(F.lower("__s")).distinct().limit(SMALL).collect() if r[0]]
     plain = plain_words(F.col("__city"))
     if states:
-        spelt_states = "|".join(sorted({x for n in states for x in (re.escape(n), re.escape(n.replace(" ", "")))}))
+        spelt_states = "|".join(sorted({x for n in [*states, *STATE_CODES] for x in (re.escape(n), re.escape(n.replace(" ", "")))}))
         bare = F.trim(F.regexp_replace(plain, rf"\b(?:{spelt_states})(?: ?india)?\b", " "))
     else:
         bare = plain

@@ -80,7 +80,7 @@ def score_pages(pages: DataFrame, key: str = "doc_id", text: str = "text", lang:
     counts = stored(word_counts(pages, key, text, lang), "word-counts")
     per_lang = counts.filter("lg IS NOT NULL").select(key, "lg").distinct().groupBy("lg").agg(F.count("*").alias("pages"))
     df = counts.filter("lg IS NOT NULL").groupBy("lg", "word").agg(F.count("*").alias("df"))
-    common = df.join(F.broadcast(per_lang), "lg").filter(F.col("df") >= COMMON * F.col("pages")).groupBy("word").agg(F.collect_set("lg").alias("__in"))
+    common = df.join(F.broadcast(per_lang), "lg").filter(F.col("df") >= F.greatest(F.lit(3.0), COMMON * F.col("pages"))).groupBy("word").agg(F.collect_set("lg").alias("__in"))
     # What each language's common words cover of a page; the best covered is its language.
     languages = sorted(set(LANGUAGES.values()))
     covered = counts.join(bounded(common), "word", "left").groupBy(key).agg(
