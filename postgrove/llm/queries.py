@@ -12,7 +12,7 @@ from postgrove.llm.canonical import map_places
 from postgrove.llm.history import History, ad_key
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
-from postgrove.llm.linkage import finished_lines, link
+from postgrove.llm.linkage import link
 from postgrove.llm.mixing import mix, mixture_report
 from postgrove.llm.packing import pack
 from postgrove.llm.spam import score_pages, spam_pages
@@ -45,8 +45,9 @@ def _linked(spark: SparkSession, d: str) -> DataFrame:
     f = F.col
     return link(
         table(spark, d, "jobs"), table(spark, d, "raw_postings"), "row_id", "posting_id",
-        {"title": f("title"), "company": f("company"), "place": f("city"), "text": finished_lines(f("full_description"))},
+        {"title": f("title"), "company": f("company"), "place": f("city"), "text": f("full_description")},
         {"title": f("title"), "company": f("company"), "place": f("location"), "text": f("job_description_summary")},
+        finished=True,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postgrove.llm.canonical import edits, map_places, similarity_join
 from postgrove.llm.history import History, ad_key, word_shingles
-from postgrove.llm.linkage import expectation_maximisation, finished_lines, link
+from postgrove.llm.linkage import expectation_maximisation, link
 from postgrove.llm.survivor import align, consensus, survivors
 from postgrove.session import shared_dir
 
@@ -120,7 +120,7 @@ def test_linkage(spark):
     schema = "id bigint, title string, company string, place string, text string"
     a, b = spark.createDataFrame(jobs, schema), spark.createDataFrame(posts, schema.replace("id bigint", "pid bigint"))
     f = {k: F.col(k) for k in ("title", "company", "place", "text")}
-    out = link(a, b, "id", "pid", f | {"text": finished_lines(F.col("text"))}, f).collect()
+    out = link(a, b, "id", "pid", f, f, finished=True).collect()
     got = {(r.id, r.pid) for r in out}
     assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 2
     assert all(0.5 <= r.confidence <= 1 for r in out)
