@@ -14,7 +14,7 @@ from postgrove.functions.timeparse import parse_instant
 from postgrove.operators.search import missing_to_other, specified, top
 from postgrove.contract import trimmed
 from postgrove.plans.sqltext import SITE, instant, number, specified as sql_specified, trim
-from postgrove.session import table
+from postgrove.session import spread, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -192,7 +192,7 @@ def skill_donut_others(spark, d):
 
 @query()
 def category_distribution(spark, d):
-    c = jobs(spark, d).groupBy(job_category(F.col("title"), F.col("skills"), F.col("full_description")).alias("category")).agg(F.count("*").alias("n"))
+    c = spread(jobs(spark, d), "row_id").groupBy(job_category(F.col("title"), F.col("skills"), F.col("full_description")).alias("category")).agg(F.count("*").alias("n"))
     return c.withColumn("pct", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy())).cast("int")).orderBy(F.desc("n"), "category")  # seven rows
 
 

@@ -18,7 +18,7 @@ from postgrove.functions.timeparse import ist_stamp, parse_instant, posted_insta
 from postgrove.operators import ml, pipeline, quality, search
 from postgrove.operators.relevance import role_relevant
 from postgrove.plans.sqltext import instant, known, lost, number, SITE, trim
-from postgrove.session import shared_dir, table
+from postgrove.session import shared_dir, spread, table
 from postgrove.sources.readers import clean_record_gate, json_ld, json_ld_skills
 from postgrove.streaming import streams
 
@@ -95,7 +95,7 @@ def parse_experience_text(spark, d):
 
 @query()
 def experience_reviews(spark, d):
-    return jobs(spark, d).select("row_id", review_reason(F.col("full_description"), F.col("min_experience_years"), F.col("max_experience_years"), F.col("link")).alias("reason")).filter("reason <> ''")
+    return spread(jobs(spark, d), "row_id").select("row_id", review_reason(F.col("full_description"), F.col("min_experience_years"), F.col("max_experience_years"), F.col("link")).alias("reason")).filter("reason <> ''")
 
 
 @query()
@@ -131,7 +131,7 @@ def education_normalized(spark, d):
 
 @query()
 def skill_extract_catalog(spark, d):
-    return jobs(spark, d).select("row_id", extract_skills(F.col("full_description")).alias("skills"))
+    return spread(jobs(spark, d), "row_id").select("row_id", extract_skills(F.col("full_description")).alias("skills"))
 
 
 @query()
@@ -188,7 +188,7 @@ def json_ld_scan(spark, d):
 
 @query()
 def role_relevance(spark, d):
-    return jobs(spark, d).select("row_id", role_relevant(F.col("title"), F.col("search_keyword")).alias("relevant"))
+    return spread(jobs(spark, d), "row_id").select("row_id", role_relevant(F.col("title"), F.col("search_keyword")).alias("relevant"))
 
 
 @query()

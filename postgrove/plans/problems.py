@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from postgrove.functions.source import site
 from postgrove.operators.packed import infer_delimiters, long_form, split_packed
 from postgrove.operators.rejects import rejects, strict_load
-from postgrove.session import table
+from postgrove.session import spread, table
 
 PACKED = ["skills", "degree_required", "specialization_required"]
 
@@ -21,7 +21,7 @@ def p2_loaded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return split_packed(table(spark, d, "jobs"), "row_id", PACKED, site(F.col("source")))
+    return split_packed(spread(table(spark, d, "jobs"), "row_id"), "row_id", PACKED, site(F.col("source")))
 
 
 def p6_delimiters(spark: SparkSession, d: str) -> DataFrame:

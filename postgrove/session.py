@@ -46,3 +46,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan of few files divided by its key, so that work heavy on CPU uses all cores.
+
+    A scan that already has a partition for every other core, as any large input does, stays as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < max(2, cores // 2) else df
