@@ -18,7 +18,7 @@ from postgrove.llm.packing import pack
 from postgrove.llm.spam import score_pages, spam_pages
 from postgrove.llm.survivor import survivors
 from postgrove.llm.tokens import token_count
-from postgrove.session import shared_dir, stored, table
+from postgrove.session import shared_dir, spread, stored, table
 
 _MISSING = "('', 'not specified', 'not_specified', 'not available', 'n/a', 'na', 'none', 'null', '-')"
 
@@ -44,7 +44,7 @@ CASE WHEN nl IS NOT NULL THEN site_l || ':' || nl WHEN nj IS NOT NULL THEN src |
 def _linked(spark: SparkSession, d: str) -> DataFrame:
     f = F.col
     return link(
-        table(spark, d, "jobs"), table(spark, d, "raw_postings"), "row_id", "posting_id",
+        spread(table(spark, d, "jobs"), "row_id"), spread(table(spark, d, "raw_postings"), "posting_id"), "row_id", "posting_id",
         {"title": f("title"), "company": f("company"), "place": f("city"), "text": f("full_description")},
         {"title": f("title"), "company": f("company"), "place": f("location"), "text": f("job_description_summary")},
         finished=True,
@@ -60,11 +60,11 @@ def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return page_lines(table(spark, d, "jobs"), "row_id", "full_description", "company")
+    return page_lines(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company")
 
 
 def p3_main_text(spark: SparkSession, d: str) -> DataFrame:
-    return main_text(table(spark, d, "jobs"), "row_id", "full_description", "company")
+    return main_text(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -95,16 +95,16 @@ def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return spam_pages(table(spark, d, "documents"))
+    return spam_pages(spread(table(spark, d, "documents"), "doc_id"))
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
-    return score_pages(table(spark, d, "documents"))
+    return score_pages(spread(table(spark, d, "documents"), "doc_id"))
 
 
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     """Every speech in containers of each capacity."""
-    sized = stored(table(spark, d, "documents").select("doc_id", token_count(F.col("text")).alias("n")), "tokens")
+    sized = stored(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id").select("doc_id", token_count(F.col("text")).alias("n")), "tokens")
     out = None
     for r in table(spark, d, "pack_bins").orderBy("bin_type").collect():  # three rows, fixed
         one = pack(sized, "doc_id", F.col("n"), r.capacity_tokens).select(F.lit(r.bin_type).alias("bin_type"), "bin_id", "slot", "doc_id", "piece", "tokens")
@@ -119,7 +119,7 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
-    return mix(table(spark, d, "documents"), table(spark, d, "source_weights"), "doc_id", "source", token_count(F.col("text")))
+    return mix(spread(table(spark, d, "documents").select("doc_id", "source", "text"), "doc_id"), table(spark, d, "source_weights"), "doc_id", "source", token_count(F.col("text")))
 
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
