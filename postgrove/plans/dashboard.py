@@ -210,9 +210,10 @@ def skill_tier_rank(spark, d):
   SELECT category, {trim('i')} AS skill, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(lower(coalesce(title, '')), '(^|[^a-z0-9_])(qa([^a-z0-9_]|$)|tester|test\\s+engineer|sdet)') THEN 'QA' WHEN regexp_matches(lower(coalesce(title, '')), '(^|[^a-z0-9_])(data\\s+engineer)') THEN 'DE' ELSE 'rest' END AS category,
     unnest(string_split(skills, ',')) AS i FROM jobs) GROUP BY 1, 2) WHERE length(skill) > 1 AND lower(skill) <> 'not specified') WHERE r <= 8""")
 def category_top_skills(spark, d):
-    t = F.lower(F.coalesce("title", F.lit("")))
-    c = F.when(t.rlike(r"(^|[^a-z0-9_])(qa([^a-z0-9_]|$)|tester|test\s+engineer|sdet)"), "QA").when(t.rlike(r"(^|[^a-z0-9_])(data\s+engineer)"), "DE").otherwise("rest")
-    s = jobs(spark, d).select(c.alias("category"), F.explode(F.split("skills", ",")).alias("item")).select("category", trimmed(F.col("item")).alias("skill")).filter((F.length("skill") > 1) & (F.lower("skill") != "not specified"))
+    """The eight commonest reported skills of each category, from skills and description alike."""
+    s = spread(jobs(spark, d), "row_id").select(
+        job_category(F.col("title"), F.col("skills"), F.col("full_description")).alias("category"), F.explode(reported_skills(F.col("skills"), F.col("full_description"))).alias("skill")
+    )
     n = s.groupBy("category", "skill").agg(F.count("*").alias("n"))
     return n.withColumn("rank", F.row_number().over(Window.partitionBy("category").orderBy(F.desc("n"), "skill"))).filter("rank <= 8")
 
