@@ -198,8 +198,8 @@ def category_distribution(spark, d):
 
 @query()
 def skill_tier_rank(spark, d):
-    """The ten commonest reported skills with a label by rank or share."""
-    rows = jobs(spark, d).select(F.explode(reported_skills(F.col("skills"), F.lit(None).cast("string"))).alias("skill"))
+    """The ten commonest reported skills, in skills or description, with a label by rank or share."""
+    rows = spread(jobs(spark, d), "row_id").select(F.explode(reported_skills(F.col("skills"), F.col("full_description"))).alias("skill"))
     total = jobs(spark, d).agg(F.count("*").alias("t"))
     ten = rows.groupBy("skill").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "skill").limit(10).join(F.broadcast(total))
     ranked = ten.withColumn("i", F.row_number().over(Window.orderBy(F.desc("n"), "skill")) - 1).withColumn("pct", F.round(100 * F.col("n") / F.col("t")).cast("int"))  # ten rows

@@ -47,3 +47,11 @@ def test_category_top_skills_ranks_every_category_from_skills_and_description(sp
         want |= {(c, s, -n, i + 1) for i, (n, s) in enumerate(ranked)}
     assert {c for c, *_ in want} == {"QA", "DE", "SE", "AI", "DA", "Cloud", "Other"}
     assert {tuple(r) for r in QUERIES["category_top_skills"](spark, postings).collect()} == want
+
+
+def test_skill_tier_rank_counts_skills_named_only_in_the_description(spark, postings):
+    counts = Counter(s for p in POSTINGS for s in named(*p[1:]))
+    ranked = sorted((-n, s) for s, n in counts.items())[:10]
+    want = {(s, -n, int(-100 * n / len(POSTINGS) + 0.5)) for n, s in ranked}
+    got = QUERIES["skill_tier_rank"](spark, postings).collect()
+    assert {(r.skill, r.n, r.pct) for r in got} == want
