@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from postgrove.contract import NOT_SPECIFIED
+from postgrove.contract import NOT_SPECIFIED, trimmed
 from postgrove.functions.text import clean, metadata_cut
 
 #: State codes.
@@ -21,6 +21,14 @@ STATE_NAMES = [
     "Madhya Pradesh", "Maharashtra", "Manipur", "Meghalaya", "Mizoram", "Nagaland", "Odisha", "Punjab", "Rajasthan", "Sikkim", "Tamil Nadu", "Telangana", "Tripura",
     "Uttar Pradesh", "Uttarakhand", "West Bengal",
 ]
+#: The map's states by id; two more ids in use follow.
+MAP_STATES = {
+    "an": "Andaman and Nicobar Islands", "ap": "Andhra Pradesh", "ar": "Arunachal Pradesh", "as": "Assam", "br": "Bihar", "ch": "Chandigarh", "ct": "Chhattisgarh", "dn": "Dadra and Nagar Haveli",
+    "dd": "Daman and Diu", "dl": "Delhi", "ga": "Goa", "gj": "Gujarat", "hr": "Haryana", "hp": "Himachal Pradesh", "jk": "Jammu and Kashmir", "jh": "Jharkhand", "ka": "Karnataka", "kl": "Kerala",
+    "ld": "Lakshadweep", "mp": "Madhya Pradesh", "mh": "Maharashtra", "mn": "Manipur", "ml": "Meghalaya", "mz": "Mizoram", "nl": "Nagaland", "or": "Odisha", "py": "Puducherry", "pb": "Punjab",
+    "rj": "Rajasthan", "sk": "Sikkim", "tn": "Tamil Nadu", "tg": "Telangana", "tr": "Tripura", "up": "Uttar Pradesh", "ut": "Uttarakhand", "wb": "West Bengal",
+    "od": "Odisha", "ts": "Telangana",
+}
 #: Metro hubs and the label of each, in order.
 METROS = [
     ("bengaluru|bangalore", "Bengaluru, Karnataka"), ("hyderabad", "Hyderabad, Telangana"), ("pune", "Pune, Maharashtra"), ("mumbai", "Mumbai, Maharashtra"),
@@ -59,6 +67,11 @@ def known_state(c: Column) -> Column:
     return F.coalesce(_lookup(v, {k: s for k, s in STATES.items() if k != "IN"}), _lookup(v, {n.upper(): n for n in STATE_NAMES}))
 
 
+def map_state(c: Column) -> Column:
+    """The map's state of which a text is the id or the name, in any case; else null."""
+    return _lookup(F.lower(trimmed(c)), MAP_STATES | {n.lower(): n for n in MAP_STATES.values()})
+
+
 def india_suffix(c: Column) -> Column:
     """``…, TelanganaIndia`` -> ``…, Telangana, India``."""
     return F.regexp_replace(c, rf"(?i)\b({_NAMES})\s*,?\s*India\s*$", "$1, India")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from postgrove.functions.category import job_category
 from postgrove.functions.education import classify_education
 from postgrove.functions.experience import career_tier, experience_number
-from postgrove.functions.location import indian_hub
+from postgrove.functions.location import indian_hub, map_state
 from postgrove.functions.skills import canonical_skill, countable, reported_skills, skill_items
 from postgrove.functions.source import site
 from postgrove.functions.timeparse import parse_instant
@@ -256,12 +256,15 @@ def node_contains_counts(spark, d):
 @query("""SELECT j.row_id, coalesce(e.state, p.state) AS place_state FROM jobs j LEFT JOIN (SELECT lower(city) AS c, min(state) AS state FROM city_ref GROUP BY 1) e ON lower(j.city) = e.c
   LEFT JOIN (SELECT DISTINCT state FROM city_ref) p ON lower(j.city) = lower(p.state)""")
 def state_priority_lookup(spark, d):
-    """A city's state: exact city first, else the text is itself a state."""
+    """A row's state: exact city first, else the state column as a name or id, else the first place contained in the city text, else the city text is itself a state."""
     ref = table(spark, d, "city_ref")
     exact = ref.groupBy(F.lower("city").alias("c")).agg(F.min("state").alias("s1"))
-    states = ref.select(F.lower("state").alias("c"), F.col("state").alias("s2")).distinct()
-    key = F.lower("city").alias("c")
-    return jobs(spark, d).select("row_id", key).join(F.broadcast(exact), "c", "left").join(F.broadcast(states), "c", "left").select("row_id", F.coalesce("s1", "s2").alias("place_state"))  # 128 fixed places
+    states = ref.select(F.lower("state").alias("c"), F.col("state").alias("s4")).distinct()
+    places = ref.orderBy("city_id").select(F.lower("city").alias("c"), "state").collect()  # 128 fixed places, the first contained one wins
+    rows = jobs(spark, d).select("row_id", F.lower(trimmed(F.col("city"))).alias("c"), map_state(F.col("state")).alias("s2"))
+    contained = F.coalesce(*[F.when(F.col("c").contains(r.c), F.lit(r.state)) for r in places])
+    found = rows.join(F.broadcast(exact), "c", "left").join(F.broadcast(states), "c", "left")
+    return found.select("row_id", F.coalesce("s1", "s2", contained, "s4").alias("place_state"))
 
 
 @query("""SELECT o_orderpriority AS priority, count(DISTINCT o_custkey) AS customers, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")

@@ -55,3 +55,17 @@ def test_skill_tier_rank_counts_skills_named_only_in_the_description(spark, post
     want = {(s, -n, int(-100 * n / len(POSTINGS) + 0.5)) for n, s in ranked}
     got = QUERIES["skill_tier_rank"](spark, postings).collect()
     assert {(r.skill, r.n, r.pct) for r in got} == want
+
+
+PLACES = [(1, "Bengaluru", "Karnataka"), (2, "Pune", "Maharashtra"), (3, "Noida", "Uttar Pradesh"), *[(i, f"Place{i}x", "Kerala") for i in range(4, 21)], (21, "Udhebhakota", "Haryana"), (22, "Udhebhakota", "Bihar")]
+PLACE_SCHEMA = "city_id long, city string, state string"
+
+
+@pytest.mark.parametrize("city, state, want", [
+    ("Pune", "Karnataka", "Maharashtra"), (" PUNE ", "Karnataka", "Maharashtra"), ("Some village", "Karnataka", "Karnataka"), ("Some village", " mh ", "Maharashtra"), ("Some village", "JH", "Jharkhand"),
+    (None, "Goa", "Goa"), ("Pune, Maharashtra", None, "Maharashtra"), ("Noida or Pune", "n/a", "Maharashtra"), ("Old Place20x", "", "Kerala"), ("Pune East", "Kerala", "Kerala"), ("Kerala", None, "Kerala"),
+    ("Udhebhakota road", None, "Haryana"), ("Some village", "India", None), (None, None, None),
+])
+def test_state_priority_lookup_tiers(spark, tmp_path, city, state, want):
+    d = tables(spark, tmp_path, city_ref=(PLACES, PLACE_SCHEMA), jobs=([(1, city, state)], "row_id long, city string, state string"))
+    assert QUERIES["state_priority_lookup"](spark, d).first().place_state == want
