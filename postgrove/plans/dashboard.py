@@ -244,13 +244,13 @@ def run_gap_hours(spark, d):
 
 @query("""WITH n AS (SELECT city AS node, state FROM city_ref WHERE city_id <= 12) SELECT n.node, n.state, count(j.row_id) AS n FROM n LEFT JOIN jobs j ON lower(j.city) = lower(n.node) OR contains(lower(j.city), lower(n.node)) GROUP BY 1, 2""")
 def node_contains_counts(spark, d):
-    """Theta join with twelve fixed nodes: the nodes become one array beside each row, no row is paired with all."""
-    nodes = table(spark, d, "city_ref").filter("city_id <= 12").select(F.col("city").alias("node"), "state")
-    names = [r.node for r in nodes.collect()]  # twelve rows, fixed
-    city = F.lower("city")
-    hit = F.array_compact(F.array(*[F.when(city.contains(n.lower()), F.lit(n)) for n in names]))
-    counts = jobs(spark, d).select(F.explode(hit).alias("node")).groupBy("node").agg(F.count("*").alias("c"))
-    return nodes.join(counts, "node", "left").select("node", "state", F.coalesce("c", F.lit(0)).alias("n"))
+    """Theta join with every place as a node: the names become one array beside each distinct city, no row is paired with all."""
+    nodes = table(spark, d, "city_ref").select(F.col("city").alias("node"), "state")
+    names = sorted({r.node.lower() for r in nodes.collect()})  # 128 rows, fixed; namesakes are one name
+    cities = jobs(spark, d).groupBy(F.lower("city").alias("city")).agg(F.count("*").alias("rows"))
+    hit = F.array_compact(F.array(*[F.when(F.col("city").contains(n), F.lit(n)) for n in names]))
+    counts = cities.select(F.explode(hit).alias("name"), "rows").groupBy("name").agg(F.sum("rows").alias("c"))
+    return nodes.join(counts, F.lower("node") == F.col("name"), "left").select("node", "state", F.coalesce("c", F.lit(0)).alias("n"))
 
 
 @query("""SELECT j.row_id, coalesce(e.state, p.state) AS place_state FROM jobs j LEFT JOIN (SELECT lower(city) AS c, min(state) AS state FROM city_ref GROUP BY 1) e ON lower(j.city) = e.c

@@ -69,3 +69,12 @@ PLACE_SCHEMA = "city_id long, city string, state string"
 def test_state_priority_lookup_tiers(spark, tmp_path, city, state, want):
     d = tables(spark, tmp_path, city_ref=(PLACES, PLACE_SCHEMA), jobs=([(1, city, state)], "row_id long, city string, state string"))
     assert QUERIES["state_priority_lookup"](spark, d).first().place_state == want
+
+
+def test_node_contains_counts_has_every_place(spark, tmp_path):
+    cities = ["Pune", "pune, Maharashtra", "Noida or Pune", "Place20x", "Old place20X", "Udhebhakota", None, "", "elsewhere"]
+    d = tables(spark, tmp_path, city_ref=(PLACES, PLACE_SCHEMA), jobs=(list(enumerate(cities)), "row_id long, city string"))
+    want = {(n, s, sum(n.lower() in (c or "").lower() for c in cities)) for _, n, s in PLACES}
+    assert ("Place20x", "Kerala", 2) in want and ("Udhebhakota", "Bihar", 1) in want
+    got = [tuple(r) for r in QUERIES["node_contains_counts"](spark, d).collect()]
+    assert len(got) == len(PLACES) and set(got) == want
