@@ -285,6 +285,5 @@ def batch_counts(spark, d):
 
 @query("""SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderdate >= TIMESTAMP '2000-01-01'""")
 def embed_left_join(spark, d):
-    o = table(spark, d, "orders").filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
     return o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left").select("o_orderkey", "c_name", "n_name")

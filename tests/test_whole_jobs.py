@@ -78,3 +78,11 @@ def test_node_contains_counts_has_every_place(spark, tmp_path):
     assert ("Place20x", "Kerala", 2) in want and ("Udhebhakota", "Bihar", 1) in want
     got = [tuple(r) for r in QUERIES["node_contains_counts"](spark, d).collect()]
     assert len(got) == len(PLACES) and set(got) == want
+
+
+def test_embed_left_join_keeps_orders_of_all_dates(spark, tmp_path):
+    d = tables(
+        spark, tmp_path, orders=([(1, 7, "1995-03-01 00:00:00"), (2, 7, "2001-03-01 00:00:00"), (3, 8, "1999-12-31 00:00:00"), (4, 9, None), (5, None, "2000-01-01 00:00:00")], "o_orderkey long, o_custkey long, o_orderdate string"),
+        customer=([(7, "Ann", 1), (8, "Bo", 99)], "c_custkey long, c_name string, c_nationkey long"), nation=([(1, "INDIA")], "n_nationkey long, n_name string"),
+    )
+    assert {tuple(r) for r in QUERIES["embed_left_join"](spark, d).collect()} == {(1, "Ann", "INDIA"), (2, "Ann", "INDIA"), (3, "Bo", None), (4, None, None), (5, None, None)}
