@@ -372,12 +372,12 @@ _RULES = [(f"missing_{f}", lost(f)) for f in quality.REQUIRED] + [
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS check_name, count(*) FILTER (WHERE {c}) AS broken FROM jobs" for n, c in _RULES))
 def dq_audit_summary(spark, d):
-    return quality.audit(jobs(spark, d)).filter("check <> 'bad_experience'").select(F.col("check").alias("check_name"), "broken")
+    return quality.audit(jobs(spark, d)).select(F.col("check").alias("check_name"), "broken")
 
 
 @query(" UNION ALL ".join(f"SELECT row_id, '{n}' AS problem FROM jobs WHERE {c}" for n, c in _RULES))
 def dq_problem_rows(spark, d):
-    return quality.problems(jobs(spark, d), "row_id").filter("problem <> 'bad_experience'")
+    return quality.problems(jobs(spark, d), "row_id")
 
 
 @query()
