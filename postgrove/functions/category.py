@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from postgrove.functions.rules import count_contained, first_match
@@ -36,30 +39,46 @@ def signal_count(text: Column, words: list[str]) -> Column:
     return count_contained(F.lower(F.coalesce(text, F.lit(""))), words)
 
 
-#: The four extraction slots and their keywords.
-SLOTS = [
-    (0, "Data Analytics", ["data analyst", "business analyst", "power bi", "sql developer", "data scientist", "tableau"]),
-    (1, "Python Development", ["python", "django", "fastapi", "flask"]),
-    (2, "Java Development", ["java", "spring boot", "spring", "hibernate"]),
-    (3, "Cloud Operations", ["devops", "kubernetes", "docker", "aws", "azure", "cloud", "site reliability"]),
+#: The four domains, their slots and the terms that show them, in order.
+DOMAINS = [
+    (0, "Data & Analytics", ["data analyst", "data scientist", "data engineer", "business analyst", "power bi", "analytics"]),
+    (1, "Python Development", ["python developer", "python backend", "django", "fastapi", "flask", "python"]),
+    (2, "Java Development", ["java developer", "full stack java", "spring boot", "core java", "java"]),
+    (3, "Cloud & DevOps", ["cloud engineer", "aws devops", "azure engineer", "kubernetes", "devops", "cloud", "aws", "gcp"]),
+]
+#: The search keywords of each slot.
+SLOT_KEYWORDS = [
+    (0, ["data analyst", "data scientist", "data engineer", "business analyst", "power bi"]),
+    (1, ["python developer", "python backend", "django developer", "fastapi developer"]),
+    (2, ["java developer", "full stack java", "spring boot developer", "core java"]),
+    (3, ["cloud engineer", "aws devops", "azure engineer", "kubernetes developer"]),
 ]
+#: Words of a keyword that tell no slot.
+COMMON_WORDS = ["developer", "engineer", "analyst", "lead", "senior", "jr", "sr", "backend", "full", "stack"]
+_PIECES = r"[\s,\-/]+"
+
+
+def _first_true(cases: list[tuple[int, Column]]) -> Column:
+    return F.coalesce(*[F.when(hit, slot) for slot, hit in cases])
 
 
 def slot_of(keywords: Column) -> Column:
-    """The first slot one of whose keywords contains the text or is contained in it; else null."""
+    """The first slot with a phrase that contains the keyword or is contained in it; else the first that shares a telling word; else null."""
     k = F.lower(F.trim(keywords))
-    out = F.lit(None).cast("int")
-    for slot, _, words in reversed(SLOTS):
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | k.contains(w) | ((k != "") & F.lit(w).contains(k))
-        out = F.when(hit, slot).otherwise(out)
-    return out
+    told = F.filter(F.split(k, _PIECES), lambda w: (w != "") & ~w.isin(COMMON_WORDS))
+    phrase = [(slot, F.lit(False) if not words else reduce(or_, [k.contains(w) | F.lit(w).contains(k) for w in words])) for slot, words in SLOT_KEYWORDS]
+    word = [(slot, F.arrays_overlap(told, F.lit(sorted({x for w in words for x in w.split()})))) for slot, words in SLOT_KEYWORDS]
+    return F.when(k != "", F.coalesce(_first_true(phrase), _first_true(word))).cast("int")
+
+
+def domain_slot(keywords: Column) -> Column:
+    """The slot of the first domain one of whose terms the text contains; else null."""
+    k = F.lower(keywords)
+    return _first_true([(slot, reduce(or_, [k.contains(w) for w in words])) for slot, _, words in DOMAINS]).cast("int")
 
 
 def domain_of(keywords: Column) -> Column:
-    s = slot_of(keywords)
-    out = F.lit("General Extraction")
-    for slot, name, _ in SLOTS:
-        out = F.when(s == slot, name).otherwise(out)
-    return out
+    """The domain's name: general without keywords, custom where no term is found."""
+    slot = domain_slot(keywords)
+    named = F.coalesce(*[F.when(slot == i, name) for i, name, _ in DOMAINS], F.lit("Custom Extraction"))
+    return F.when(F.length(F.coalesce(keywords, F.lit(""))) == 0, "General Extraction").otherwise(named)

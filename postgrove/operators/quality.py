@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postgrove.contract import CSV_FIELDS, QUALITY_MISSING, missing
 from postgrove.functions.experience import experience_problems
-from postgrove.functions.location import polluted_city, polluted_country, polluted_state
+from postgrove.functions.location import polluted_city, polluted_country, polluted_education, polluted_state
 from postgrove.functions.source import site
 
 #: Fields every posting must have.
@@ -19,6 +19,7 @@ def rules() -> dict[str, Column]:
     return broken | {
         "unknown_source": site(F.col("source")).isNull(),
         "polluted_city": polluted_city(F.col("city")), "polluted_state": polluted_state(F.col("state")), "polluted_country": polluted_country(F.col("country")),
+        "polluted_education": polluted_education(F.col("degree_required")),
         "bad_experience": F.size(experience_problems(F.col("min_experience_years"), F.col("max_experience_years"))) > 0,
         "bad_link": ~missing(F.col("link"), QUALITY_MISSING) & ~F.col("link").rlike(r"^https?://"),
     }

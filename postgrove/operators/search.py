@@ -10,9 +10,11 @@ from postgrove.contract import NOT_SPECIFIED, trimmed
 PAGE_LEAST, PAGE_MOST, PAGE_USUAL = 10, 100, 25
 #: The hub cities of a state, for the state filter.
 STATE_HUBS = {
-    "Karnataka": ["Bengaluru", "Bangalore", "Mysuru"], "Tamil Nadu": ["Chennai", "Coimbatore", "Madurai"], "Telangana": ["Hyderabad", "Warangal"], "Maharashtra": ["Mumbai", "Pune", "Nagpur"],
-    "West Bengal": ["Kolkata"], "Delhi NCR": ["Delhi", "Noida", "Gurugram", "Gurgaon"], "Haryana": ["Gurugram", "Gurgaon"], "Uttar Pradesh": ["Noida", "Lucknow"], "Gujarat": ["Ahmedabad", "Surat"],
-    "Kerala": ["Kochi", "Thiruvananthapuram"], "Rajasthan": ["Jaipur"],
+    "tamil nadu": ["chennai", "coimbatore", "madurai", "tiruchirappalli", "salem"], "karnataka": ["bengaluru", "bangalore", "mysuru", "mysore", "hubli", "mangalore"],
+    "maharashtra": ["mumbai", "pune", "nagpur", "nashik", "aurangabad", "thane"], "telangana": ["hyderabad", "secunderabad", "warangal"],
+    "delhi": ["delhi", "new delhi", "noida", "gurgaon", "gurugram"], "west bengal": ["kolkata", "calcutta", "howrah", "durgapur", "siliguri"],
+    "gujarat": ["ahmedabad", "gandhinagar", "surat", "vadodara", "rajkot"], "kerala": ["kochi", "cochin", "thiruvananthapuram", "trivandrum", "kozhikode", "calicut"],
+    "rajasthan": ["jaipur", "udaipur", "jodhpur"], "uttar pradesh": ["noida", "lucknow", "kanpur", "agra"], "chandigarh": ["chandigarh", "mohali", "panchkula"],
 }
 
 
@@ -30,8 +32,9 @@ def in_blob(text: str, *columns: str) -> Column:
 
 
 def in_state(state: str, state_column: str = "state", city_column: str = "city") -> Column:
-    out = F.coalesce(F.col(state_column).ilike(f"%{state}%"), F.lit(False))
-    for hub in STATE_HUBS.get(state, []):
+    """The state is named, or the city is one of its hubs."""
+    out = F.coalesce(F.col(state_column).ilike(f"%{state.strip()}%"), F.lit(False))
+    for hub in STATE_HUBS.get(state.strip().lower(), []):
         out = out | F.coalesce(F.col(city_column).ilike(f"%{hub}%"), F.lit(False))
     return out
 

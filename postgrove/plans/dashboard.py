@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from postgrove.functions.category import job_category
 from postgrove.functions.education import classify_education
 from postgrove.functions.experience import career_tier, experience_number
-from postgrove.functions.location import indian_hub, map_state
+from postgrove.functions.location import MAP_STATES, indian_hub, map_state
 from postgrove.functions.skills import canonical_skill, countable, reported_skills, skill_items
 from postgrove.functions.source import site
 from postgrove.functions.timeparse import parse_instant
@@ -242,7 +242,7 @@ def run_gap_hours(spark, d):
     return h.withColumn("gap_hours", F.round(gap, 4))
 
 
-@query("""WITH n AS (SELECT city AS node, state FROM city_ref WHERE city_id <= 12) SELECT n.node, n.state, count(j.row_id) AS n FROM n LEFT JOIN jobs j ON lower(j.city) = lower(n.node) OR contains(lower(j.city), lower(n.node)) GROUP BY 1, 2""")
+@query("""WITH n AS (SELECT city AS node, state FROM city_ref) SELECT n.node, n.state, count(j.row_id) AS n FROM n LEFT JOIN jobs j ON lower(j.city) = lower(n.node) OR contains(lower(j.city), lower(n.node)) GROUP BY 1, 2""")
 def node_contains_counts(spark, d):
     """Theta join with every place as a node: the names become one array beside each distinct city, no row is paired with all."""
     nodes = table(spark, d, "city_ref").select(F.col("city").alias("node"), "state")
@@ -253,8 +253,13 @@ def node_contains_counts(spark, d):
     return nodes.join(counts, F.lower("node") == F.col("name"), "left").select("node", "state", F.coalesce("c", F.lit(0)).alias("n"))
 
 
-@query("""SELECT j.row_id, coalesce(e.state, p.state) AS place_state FROM jobs j LEFT JOIN (SELECT lower(city) AS c, min(state) AS state FROM city_ref GROUP BY 1) e ON lower(j.city) = e.c
-  LEFT JOIN (SELECT DISTINCT state FROM city_ref) p ON lower(j.city) = lower(p.state)""")
+_MAP_STATES = ", ".join(f"('{k}', '{v}')" for k, v in [*MAP_STATES.items(), *{v.lower(): v for v in MAP_STATES.values()}.items()])
+
+
+@query(f"""WITH j AS (SELECT row_id, lower({trim('city')}) AS c, lower({trim('state')}) AS s FROM jobs), m(k, name) AS (VALUES {_MAP_STATES}),
+  texts AS (SELECT c, (SELECT arg_min(r.state, r.city_id) FROM city_ref r WHERE contains(t.c, lower(r.city))) AS held FROM (SELECT DISTINCT c FROM j) t)
+SELECT j.row_id, coalesce(e.state, m.name, t.held, p.state) AS place_state FROM j LEFT JOIN (SELECT lower(city) AS c, min(state) AS state FROM city_ref GROUP BY 1) e ON j.c = e.c
+  LEFT JOIN m ON j.s = m.k LEFT JOIN texts t ON j.c = t.c LEFT JOIN (SELECT DISTINCT state FROM city_ref) p ON j.c = lower(p.state)""")
 def state_priority_lookup(spark, d):
     """A row's state: exact city first, else the state column as a name or id, else the first place contained in the city text, else the city text is itself a state."""
     ref = table(spark, d, "city_ref")
@@ -283,7 +288,7 @@ def batch_counts(spark, d):
     return table(spark, d, "batch_archive").groupBy("extracted_at_utc").agg(F.count("*").alias("rows_in_batch"), F.count_if(F.col("source").isNull()).alias("without_source"))
 
 
-@query("""SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderdate >= TIMESTAMP '2000-01-01'""")
+@query("""SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def embed_left_join(spark, d):
     o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
     return o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left").select("o_orderkey", "c_name", "n_name")

@@ -10,14 +10,14 @@ from postgrove.contract import ns, trimmed
 from postgrove.functions.category import domain_of, slot_of
 from postgrove.functions.education import normalize_education
 from postgrove.functions.experience import career_tier, experience_display, experience_number, experience_problems, parse_experience, review_reason, sentence_experience
-from postgrove.functions.location import polluted_city, repair_fields, split_location, strict_city
+from postgrove.functions.location import polluted_city, polluted_country, polluted_state, repair_fields, split_location, strict_city
 from postgrove.functions.skills import canonical_skill, catalog_skills, extract_skills, labelled_skills, skill_items
 from postgrove.functions.source import site
 from postgrove.functions.text import bare_url, canonical_url, clean, fallback_job_id, joined_skills, slugify, split_list, strip_html
 from postgrove.functions.timeparse import ist_stamp, parse_instant, posted_instant, within_recency
 from postgrove.operators import ml, pipeline, quality, search
 from postgrove.operators.relevance import role_relevant
-from postgrove.plans.sqltext import instant, known, lost, number, SITE, trim
+from postgrove.plans.sqltext import GARBAGE_CITY, GARBAGE_DEGREE, GARBAGE_PLACE, SITE, cleaned, experience_is_bad, found, instant, known, lost, number, trim
 from postgrove.session import shared_dir, spread, table
 from postgrove.sources.readers import clean_record_gate, json_ld, json_ld_skills
 from postgrove.streaming import streams
@@ -119,9 +119,9 @@ def strict_city_match(spark, d):
     return jobs(spark, d).filter(strict_city(F.col("city"), "Pune")).select("row_id")
 
 
-@query(r"SELECT row_id FROM jobs WHERE city IS NOT NULL AND regexp_matches(city, '(?i)\bago\b|applicants?|see who|hired|\d{3,}|https?:')")
+@query(f"SELECT row_id, {found('city', GARBAGE_CITY)} AS city, {found('state', GARBAGE_PLACE)} AS state, {found('country', GARBAGE_PLACE)} OR ({found('country', '(?i)india')} AND lower({cleaned('country')}) <> 'india') AS country FROM jobs")
 def polluted_places(spark, d):
-    return jobs(spark, d).filter(polluted_city(F.col("city"))).select("row_id")
+    return jobs(spark, d).select("row_id", polluted_city(F.col("city")).alias("city"), polluted_state(F.col("state")).alias("state"), polluted_country(F.col("country")).alias("country"))
 
 
 @query()
@@ -191,7 +191,23 @@ def role_relevance(spark, d):
     return spread(jobs(spark, d), "row_id").select("row_id", role_relevant(F.col("title"), F.col("search_keyword")).alias("relevant"))
 
 
-@query()
+_DOMAIN = "CASE WHEN coalesce(Keywords, '') = '' THEN NULL " + " ".join(
+    f"WHEN regexp_matches(lower(Keywords), '{terms}') THEN {i}" for i, terms in enumerate((
+        "data analyst|data scientist|data engineer|business analyst|power bi|analytics", "python developer|python backend|django|fastapi|flask|python",
+        "java developer|full stack java|spring boot|core java|java", "cloud engineer|aws devops|azure engineer|kubernetes|devops|cloud|aws|gcp"))
+) + " END"
+_SLOT = "CASE " + " ".join(
+    f"WHEN k <> '' AND len(list_filter({phrases}, lambda p: contains(k, p) OR contains(p, k))) > 0 THEN {i}" for i, phrases in enumerate((
+        ["data analyst", "data scientist", "data engineer", "business analyst", "power bi"], ["python developer", "python backend", "django developer", "fastapi developer"],
+        ["java developer", "full stack java", "spring boot developer", "core java"], ["cloud engineer", "aws devops", "azure engineer", "kubernetes developer"]))
+) + " " + " ".join(
+    f"WHEN len(list_filter(string_split_regex(k, '[\\s,/-]+'), lambda w: list_contains({words}, w))) > 0 THEN {i}" for i, words in enumerate((
+        ["data", "scientist", "business", "power", "bi"], ["python", "django", "fastapi"], ["java", "spring", "boot", "core"], ["cloud", "aws", "devops", "azure", "kubernetes"]))
+) + " END"
+
+
+@query(f"""SELECT Batch_CSV_File, slot, CASE WHEN coalesce(Keywords, '') = '' THEN 'General Extraction' WHEN d IS NULL THEN 'Custom Extraction' ELSE ['Data & Analytics', 'Python Development', 'Java Development', 'Cloud & DevOps'][d + 1] END AS domain
+  FROM (SELECT Batch_CSV_File, Keywords, CAST({_SLOT} AS INTEGER) AS slot, {_DOMAIN} AS d FROM (SELECT *, lower(trim(Keywords)) AS k FROM extraction_history))""")
 def slots_and_domains(spark, d):
     return table(spark, d, "extraction_history").select("Batch_CSV_File", slot_of(F.col("Keywords")).alias("slot"), domain_of(F.col("Keywords")).alias("domain"))
 
@@ -215,7 +231,7 @@ def search_blob(spark, d):
     return jobs(spark, d).filter(search.in_blob("data engineer", "title", "company", "city", "state", "source", "skills", "search_keyword")).select("row_id")
 
 
-@query("SELECT row_id FROM jobs WHERE state ILIKE '%Karnataka%' OR city ILIKE '%Bengaluru%' OR city ILIKE '%Bangalore%' OR city ILIKE '%Mysuru%'")
+@query("""SELECT row_id FROM jobs WHERE state ILIKE '%Karnataka%' OR city ILIKE '%bengaluru%' OR city ILIKE '%bangalore%' OR city ILIKE '%mysuru%' OR city ILIKE '%mysore%' OR city ILIKE '%hubli%' OR city ILIKE '%mangalore%'""")
 def state_metro_expand(spark, d):
     return jobs(spark, d).filter(search.in_state("Karnataka")).select("row_id")
 
@@ -364,8 +380,9 @@ ORACLE["append_and_mirror"] = "SELECT o_orderkey AS k, o_totalprice AS v FROM or
 # Quality ----------------------------------------------------------------------------------------------------------
 
 _RULES = [(f"missing_{f}", lost(f)) for f in quality.REQUIRED] + [
-    ("unknown_source", f"{SITE} IS NULL"), ("polluted_city", r"coalesce(regexp_matches(city, '(?i)\bago\b|applicants?|see who|hired|\d{3,}|https?:'), false)"),
-    ("polluted_state", r"coalesce(regexp_matches(state, '(?i)india\s*$|\bago\b|applicants?|,|\d'), false)"), ("polluted_country", r"coalesce(regexp_matches(country, '(?i),|\bago\b|applicants?|\d'), false)"),
+    ("unknown_source", f"{SITE} IS NULL"), ("polluted_city", found("city", GARBAGE_CITY)), ("polluted_state", found("state", GARBAGE_PLACE)),
+    ("polluted_country", f"{found('country', GARBAGE_PLACE)} OR ({found('country', '(?i)india')} AND lower({cleaned('country')}) <> 'india')"),
+    ("polluted_education", found("degree_required", GARBAGE_DEGREE)), ("bad_experience", experience_is_bad("min_experience_years", "max_experience_years")),
     ("bad_link", f"NOT {lost('link')} AND NOT regexp_matches(link, '^https?://')"),
 ]
 

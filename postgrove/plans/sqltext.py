@@ -38,3 +38,28 @@ def number(c: str) -> str:
 
 def instant(c: str) -> str:
     return INSTANT.format(c=c)
+
+
+def cleaned(c: str) -> str:
+    return trim(f"regexp_replace({c}, '[\\s\\x{{00A0}}]+', ' ', 'g')")
+
+
+def found(c: str, pattern: str) -> str:
+    """The cleaned text is known and holds the pattern; never null."""
+    return f"(NOT {lost(cleaned(c))} AND regexp_matches({cleaned(c)}, '{pattern}'))"
+
+
+#: What the quality rules of the places and the degree look for, as one pattern each.
+GARBAGE_PLACE = (
+    r"(?i)\b\d+\s+(minute|minutes|hour|hours|day|days|week|weeks|month|months)\s+ago\b|\b\d+\s+applicants?\b|\bbe\s+among\s+the\s+first\b|\bpromoted\b|\beasy\s+apply\b|\bactively\s+recruiting\b"
+    r"|\bpeople\s+clicked\s+apply\b|(telangana|karnataka|tamil\s*nadu|kerala|maharashtra|gujarat|haryana|delhi|west\s*bengal|rajasthan|uttar\s*pradesh|madhya\s*pradesh)india$"
+)
+GARBAGE_CITY = GARBAGE_PLACE + r"|^(StateStreet|AmericanExpress|GLOBELANCE|Crunchyroll|Capco|TriNetTriNet|Andaz)\s+"
+GARBAGE_DEGREE = r"\\\.|\(\?:|\?:|\(\?=|\(\?!|\[\^"
+
+
+def experience_is_bad(low: str, high: str) -> str:
+    """A known figure that is no number or above 100, or a least above the most."""
+    n = lambda c: f"TRY_CAST({trim(c)} AS DOUBLE)"
+    odd = lambda c: f"(NOT {lost(c)} AND {n(c)} IS NULL) OR coalesce({n(c)} > 100, false)"
+    return f"({odd(low)} OR {odd(high)} OR coalesce({n(low)} > {n(high)}, false))"

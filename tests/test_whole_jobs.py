@@ -91,7 +91,8 @@ def test_embed_left_join_keeps_orders_of_all_dates(spark, tmp_path):
 def test_dq_queries_report_bad_experience(spark, tmp_path):
     sound = ("1", "Naukri", "Cook", "Acme", "https://x.example/1", "Pune", "Maharashtra", "India")
     rows = [(1, *sound, "2", "5"), (2, *sound, "9", "5"), (3, *sound, "510", None), (4, *sound, None, None), (5, *sound[:4], "ftp://x", *sound[5:], "9", "5")]
-    d = tables(spark, tmp_path, jobs=(rows, "row_id long, job_id string, source string, title string, company string, link string, city string, state string, country string, min_experience_years string, max_experience_years string"))
-    assert {tuple(r) for r in QUERIES["dq_problem_rows"](spark, d).collect()} == {(2, "bad_experience"), (3, "bad_experience"), (5, "bad_experience"), (5, "bad_link")}
+    rows = [(*r, r"B\.?Tech" if r[0] == 4 else "B.Tech") for r in rows]
+    d = tables(spark, tmp_path, jobs=(rows, "row_id long, job_id string, source string, title string, company string, link string, city string, state string, country string, min_experience_years string, max_experience_years string, degree_required string"))
+    assert {tuple(r) for r in QUERIES["dq_problem_rows"](spark, d).collect()} == {(2, "bad_experience"), (3, "bad_experience"), (5, "bad_experience"), (5, "bad_link"), (4, "polluted_education")}
     counts = {r.check_name: r.broken for r in QUERIES["dq_audit_summary"](spark, d).collect()}
-    assert len(counts) == 11 and {k: n for k, n in counts.items() if n} == {"bad_experience": 3, "bad_link": 1}
+    assert len(counts) == 12 and {k: n for k, n in counts.items() if n} == {"bad_experience": 3, "bad_link": 1, "polluted_education": 1}
