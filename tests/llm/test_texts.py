@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from postgrove.llm.boilerplate import best_ranges, main_text, page_lines
 from postgrove.llm.mixing import mix, mixture_report
 from postgrove.llm.packing import pack, pack_histogram
 from postgrove.llm.queries import ORACLE, QUERIES
-from postgrove.llm.spam import score_pages, spam_pages
+from postgrove.llm.spam import ALONE, curves, score_pages, spam_pages
 from postgrove.llm.tokens import VOCABULARY, token_count
 
 
@@ -91,13 +92,30 @@ def test_mix(spark):
     assert mix(df.filter("false"), weights, "id", "source", F.col("n")).count() == 0
 
 
+def test_curves_against_least_squares():
+    rng = np.random.default_rng(5)
+    f = [rng.integers(1, 50, size=k) for k in (1, 2, 7, 40)]
+    row = np.repeat(np.arange(4), [len(x) for x in f])
+    slope, residual = curves(np.concatenate(f).astype(np.int64), row.astype(np.int64), 5)
+    for i, x in enumerate(f[1:], 1):
+        y, r = np.log(np.sort(x)[::-1].astype(float)), np.log(np.arange(1, len(x) + 1))
+        b, a = np.polyfit(r, y, 1)
+        assert np.isclose(slope[i], -b) and np.isclose(residual[i], np.sqrt(np.mean((y - a - b * r) ** 2)), atol=1e-6)
+    assert slope[0] == residual[0] == slope[4] == 0
+
+
 def test_spam(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
     stuffed = "cheap blue widgets online, best blue widgets, blue widgets near me, buy blue widgets, " * 30
     linked = " ".join(f"[gadget deal {i % 7}](https://shop{i}.example/item/{i})" for i in range(80))
-    more = spark.createDataFrame([(-1, stuffed, "en"), (-2, linked, None), (-3, "", "en"), (-4, None, "de"), (-5, "short words here", "en"), (-6, stuffed * 40, "fr")], "doc_id bigint, text string, lang string")
+    more = spark.createDataFrame([(-1, stuffed, "en"), (-2, linked, None), (-3, "", "en"), (-4, None, "de"), (-5, "short words here", "en"), (-6, stuffed * 40, "fr"),
+            (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en"), (-8, "the " * 3000 + "house of the people and to order " * 20, "en"), (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en")], "doc_id bigint, text string, lang string")
     both = docs.unionByName(more)
-    assert {r.doc_id for r in spam_pages(both).filter("doc_id < 0").collect()} == {-1, -2, -6}
+    assert {r.doc_id for r in spam_pages(both).filter("doc_id < 0").collect()} == {-1, -2, -6, -7, -8}
+    scores = {r.doc_id: r for r in score_pages(both).filter("doc_id < 0").collect()}
+    assert scores[-8].odd < 1 and max(scores[-8].steep, scores[-8].rough) > ALONE  # the curve alone
+    # Without any declared language nothing is prose, so nothing diverges from it.
+    assert spam_pages(more.filter("doc_id in (-1, -2)").withColumn("lang", F.lit(None).cast("string"))).count() == 0
     share = score_pages(both).filter("doc_id > 0").agg(F.avg(F.col("spam").cast("int"))).first()[0]
     assert share < 0.15
     assert spam_pages(docs.filter("false")).count() == 0
