@@ -3,7 +3,7 @@
 For every page the words are ranked by frequency and a line is fitted to log frequency over log rank: its slope and
 residual describe how the page repeats itself.  The curve's *divergence* from prose is the share of its mass on words
 that the prose of the page's own language does not use.  All three are judged as distances from prose of the same
-language and a comparable length (doubling buckets of the word count, ``expected``).
+language and a comparable length (doubling buckets of the word count, ``expected``), the page itself left out.
 
 Prose and its vocabulary are found in the data: words in ``COMMON`` or more of a language's pages are common; pages of
 which ``PROSE`` or more is common words are prose; their words of enough pages are the language's vocabulary.  The
@@ -49,6 +49,8 @@ SLOPE_UNIT, RESIDUAL_UNIT, DIVERGENCE_UNIT = 0.05, 0.02, 0.1
 #: How much less prose counts in the statistics of a length for each doubling it is away.
 FAR = 0.1
 
+CURVE = ["slope", "residual", "divergence"]
+
 #: Spellings of the three languages.
 LANGUAGES = {"en": "en", "eng": "en", "de": "de", "ger": "de", "deu": "de", "fr": "fr", "fre": "fr", "fra": "fr"}
 NAMES = sorted(set(LANGUAGES.values()))
@@ -152,22 +154,29 @@ def _spoken(batch: pa.RecordBatch, common: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def expected(fitted: DataFrame) -> DataFrame:
-    """(lang, bucket, m_, s_ of slope, residual, divergence): prose of each language and length.
+    """(lang, bucket, w, and the weighed sums a_, q_ of slope, residual, divergence and their squares): prose of each language and length.
 
-    A bucket's statistics are those of all buckets, weighed by their pages and by ``FAR`` for each doubling between, so
-    lengths with little prose lean on their neighbours.  Languages x buckets: some sixty rows, whatever the input.
+    A bucket's sums are those of all buckets, weighed by ``FAR`` for each doubling between, so lengths with little prose
+    lean on their neighbours.  Languages x buckets: some sixty rows, whatever the input.
     """
-    names = ["slope", "residual", "divergence"]
     own = fitted.filter("prose").groupBy("lang", "bucket").agg(
-        F.count("*").alias("c"), *[F.avg(x).alias(f"a_{x}") for x in names], *[F.coalesce(F.var_pop(x), F.lit(0.0)).alias(f"v_{x}") for x in names]
+        F.count("*").alias("c"), *[F.sum(x).alias(f"a_{x}") for x in CURVE], *[F.sum(F.col(x) * F.col(x)).alias(f"q_{x}") for x in CURVE]
     )
     asked = fitted.groupBy("lang", F.col("bucket").alias("b")).agg(F.lit(1).alias("one")).drop("one")
-    near = asked.join(F.broadcast(own), "lang").withColumn("w", F.col("c") * F.pow(F.lit(FAR), F.abs(F.col("b") - F.col("bucket"))))
-    mean = {x: F.sum(F.col("w") * F.col(f"a_{x}")) / F.sum("w") for x in names}
-    square = {x: F.sum(F.col("w") * (F.col(f"v_{x}") + F.col(f"a_{x}") * F.col(f"a_{x}"))) / F.sum("w") for x in names}
-    return near.groupBy("lang", F.col("b").alias("bucket")).agg(
-        *[mean[x].alias(f"m_{x}") for x in names], *[F.sqrt(F.greatest(F.lit(0.0), square[x] - mean[x] * mean[x])).alias(f"s_{x}") for x in names]
-    )
+    near = asked.join(F.broadcast(own), "lang").withColumn("w", F.pow(F.lit(FAR), F.abs(F.col("b") - F.col("bucket"))))
+    return near.groupBy("lang", F.col("b").alias("bucket")).agg(F.sum(F.col("w") * F.col("c")).alias("w"), *[F.sum(F.col("w") * F.col(f"{k}_{x}")).alias(f"{k}_{x}") for k in "aq" for x in CURVE])
+
+
+def _distance(x: str, unit: Column) -> Column:
+    """How many units the page lies above the other prose; 0 where there is no other.
+
+    The unit is the spread of that prose, wider where little of it is near.
+    """
+    own = F.col("prose").cast("int")
+    w = F.col("w") - own
+    mean = (F.col(f"a_{x}") - own * F.col(x)) / w
+    spread_ = F.sqrt(F.greatest(F.lit(0.0), (F.col(f"q_{x}") - own * F.col(x) * F.col(x)) / w - mean * mean))
+    return F.when(w > 1e-9, (F.col(x) - mean) / (F.greatest(spread_, unit) * (1 + 1 / F.sqrt(w)))).otherwise(0.0)
 
 
 def score_pages(pages: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -216,9 +225,9 @@ def score_pages(pages: DataFrame, key: str = "doc_id", text: str = "text", lang:
     fitted = counts.drop("lg").mapInArrow(judge, f"`{key}` {kind}, n bigint, v bigint, slope double, residual double, lang string, prose boolean, divergence double")
     fitted = stored(fitted.withColumn("bucket", F.floor(F.log2("n")).cast("int")), "page-curves")
     out = fitted.join(F.broadcast(expected(fitted)), ["lang", "bucket"], "left")
-    far = lambda x, unit: F.coalesce((F.col(x) - F.col(f"m_{x}")) / F.greatest(F.col(f"s_{x}"), unit), F.lit(0.0))
-    out = out.withColumn("steep", far("slope", F.lit(SLOPE_UNIT))).withColumn("rough", far("residual", F.lit(RESIDUAL_UNIT)))
-    out = out.withColumn("odd", far("divergence", F.greatest(F.lit(DIVERGENCE_UNIT), 0.6 / F.sqrt("n"))))
+    out = out.withColumn("steep", _distance("slope", F.lit(SLOPE_UNIT))).withColumn("rough", _distance("residual", F.lit(RESIDUAL_UNIT)))
+    out = out.withColumn("odd", _distance("divergence", F.greatest(F.lit(DIVERGENCE_UNIT), 0.6 / F.sqrt("n"))))
+    out = out.na.fill(0.0, ["steep", "rough", "odd"])
     spam = (F.col("odd") > EXTREME) | (F.greatest("steep", "rough") > ALONE) | ((F.col("odd") > MIXED) & ((F.col("steep") > STEEP) | (F.col("rough") > ROUGH)))
     return out.select(key, "lang", "n", "v", "slope", "residual", "divergence", "steep", "rough", "odd", spam.alias("spam"))
 

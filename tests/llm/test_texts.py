@@ -109,7 +109,7 @@ def test_spam(spark, sf):
     stuffed = "cheap blue widgets online, best blue widgets, blue widgets near me, buy blue widgets, " * 30
     linked = " ".join(f"[gadget deal {i % 7}](https://shop{i}.example/item/{i})" for i in range(80))
     more = spark.createDataFrame([(-1, stuffed, "en"), (-2, linked, None), (-3, "", "en"), (-4, None, "de"), (-5, "short words here", "en"), (-6, stuffed * 40, "fr"),
-            (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en"), (-8, "the " * 3000 + "house of the people and to order " * 20, "en"), (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en")], "doc_id bigint, text string, lang string")
+            (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en"), (-8, "the " * 300 + "of and to in", "en"), (-7, "cheap widgets cheap widgets buy widgets cheap widgets shop widgets", "en")], "doc_id bigint, text string, lang string")
     both = docs.unionByName(more)
     assert {r.doc_id for r in spam_pages(both).filter("doc_id < 0").collect()} == {-1, -2, -6, -7, -8}
     scores = {r.doc_id: r for r in score_pages(both).filter("doc_id < 0").collect()}
