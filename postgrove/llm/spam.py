@@ -167,16 +167,16 @@ def expected(fitted: DataFrame) -> DataFrame:
     return near.groupBy("lang", F.col("b").alias("bucket")).agg(F.sum(F.col("w") * F.col("c")).alias("w"), *[F.sum(F.col("w") * F.col(f"{k}_{x}")).alias(f"{k}_{x}") for k in "aq" for x in CURVE])
 
 
-def _distance(x: str, unit: Column) -> Column:
+def _distance(x: str, unit: Column, by_length: bool = True) -> Column:
     """How many units the page lies above the other prose; 0 where there is no other.
 
-    The unit is the spread of that prose, wider where little of it is near.
+    The unit is the spread of that prose; for what changes ``by_length`` it is wider where little prose is near.
     """
     own = F.col("prose").cast("int")
     w = F.col("w") - own
     mean = (F.col(f"a_{x}") - own * F.col(x)) / w
     spread_ = F.sqrt(F.greatest(F.lit(0.0), (F.col(f"q_{x}") - own * F.col(x) * F.col(x)) / w - mean * mean))
-    return F.when(w > 1e-9, (F.col(x) - mean) / (F.greatest(spread_, unit) * (1 + 1 / F.sqrt(w)))).otherwise(0.0)
+    return F.when(w > 1e-9, (F.col(x) - mean) / (F.greatest(spread_, unit) * ((1 + 1 / F.sqrt(w)) if by_length else F.lit(1.0)))).otherwise(0.0)
 
 
 def score_pages(pages: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -226,7 +226,7 @@ def score_pages(pages: DataFrame, key: str = "doc_id", text: str = "text", lang:
     fitted = stored(fitted.withColumn("bucket", F.floor(F.log2("n")).cast("int")), "page-curves")
     out = fitted.join(F.broadcast(expected(fitted)), ["lang", "bucket"], "left")
     out = out.withColumn("steep", _distance("slope", F.lit(SLOPE_UNIT))).withColumn("rough", _distance("residual", F.lit(RESIDUAL_UNIT)))
-    out = out.withColumn("odd", _distance("divergence", F.greatest(F.lit(DIVERGENCE_UNIT), 0.6 / F.sqrt("n"))))
+    out = out.withColumn("odd", _distance("divergence", F.greatest(F.lit(DIVERGENCE_UNIT), 0.6 / F.sqrt("n")), by_length=False))
     out = out.na.fill(0.0, ["steep", "rough", "odd"])
     spam = (F.col("odd") > EXTREME) | (F.greatest("steep", "rough") > ALONE) | ((F.col("odd") > MIXED) & ((F.col("steep") > STEEP) | (F.col("rough") > ROUGH)))
     return out.select(key, "lang", "n", "v", "slope", "residual", "divergence", "steep", "rough", "odd", spam.alias("spam"))
