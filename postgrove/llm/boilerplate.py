@@ -6,9 +6,12 @@ score, where opening a range costs ``OPEN`` (``best_ranges``).  With ``ranges=1`
 region; the pages here carry widgets amid the text, so several ranges are allowed.
 
 The weights are log odds of a naive Bayes model over labelled lines.  Labels come from a table of labelled lines where
-one is given; else ``seed_label`` marks the lines whose kind their wording shows, on a bounded sample of pages
-(``SAMPLE_PAGES``, drawn by a hash of the text, so equal pages are drawn together), and the model carries that over to
-every other line.  The weights are bounded to the ``VOCABULARY`` commonest features.
+one is given; else ``structure_labels`` takes them from where lines stand and what they are tied to, without any list of
+phrases, on a bounded sample of pages (``SAMPLE_PAGES``, drawn by a hash of the text, so equal pages are drawn together):
+a line that names the posting's own employer or holds one of its own values is the employer's; so is a sentence amid
+sentences and a short line between two sentences; what stands outside a page's sentences is the page's, and so are its
+outermost sentences.  The last is wrong for the first and last sentence of the employer's text, but the words of such
+sentences stand amid others in most pages, so their weights come out positive all the same.
 
 "Tags" of a text page are what is left of its markup: menu separators, brackets, runs of blanks, arrows.
 
@@ -31,8 +34,6 @@ from pyspark.sql import DataFrame, functions as F
 from postgrove.contract import known
 
 SAMPLE_PAGES = 5_000
-VOCABULARY = 50_000
-MIN_COUNT = 3
 OPEN = 1.0
 LONG = 40
 BOUND = 4.0
@@ -42,23 +43,9 @@ _WORD = re.compile(r"[^\W\d_]+|[#\x01]")
 _NUMBER = re.compile(r"\d[\d,.]*")
 _SIZES = [f"<size {i}>" for i in range(11)]
 
-#: Wording that shows a line to be of the page (consent, navigation, promotion, listings, counters, footers).
-_PAGE = re.compile(
-    r"\bcookies?\b.*\b(?:we|our|us|settings|accept|agree|policy|stores?|verwenden|akzeptieren|utilisons)\b|\b(?:we|our|website|site|verwenden|utilisons)\b.*\b(?:cookies|local storage|similar technologies)\b"
-    r"|\bour use of\b|\bprocess data\b|^your privacy|\bprivacy\b.*\bterms\b|\bterms of use\b|\bgrievances\b"
-    r"|^\W*(?:(?:accept all|reject optional|manage choices|agree|got it|ok)\W*)+$"
-    r"|\ball rights reserved\b|^(?:©|copyright\b)|^powered by\b|^version #|\bpage generated\b|\bcertified portal\b|\bnever pay anyone\b|^looking for staff|\bpost a vacancy\b"
-    r"|\bsubscribe to\b|\bnewsletter\b|^follow us\b|^back to top|^report this|\bapply now\b|^save job\b|\brefer a friend\b|^skip to\b|^menu\b.*\bsearch\b|^language:"
-    r"|^download the .* app\b|\bnever miss a job\b|^upload your (?:resume|cv)|^sign in to\b|^set alert|^get alerts?\b|^advertisement$|^similar jobs|^people also|^recommended for|^show more\b|^jobs in \w+\W+jobs in\b"
-    r"|\bpeople clicked\b|^posted # \w+ ago|\bapplicants$|\b(?:minutes?|hours?|days?|weeks?|months?) ago$|\(# openings?\)$",
-    re.I,
-)
-#: Wording of the headings an employer puts over a section.
-_HEADING = re.compile(
-    r"^(?:key |main |your |our |job |role |the |about |core |desired |minimum |preferred )*(?:requirements?|responsibilit\w+|dut(?:y|ies)|qualifications?|benefits|perks|description|summary|overview|role|team|company|us|profile|skills|experience|education|must have|nice to have|good to have)\W*$"
-    r"|^(?:who|what|why|how) (?:you|we)\b.{0,30}$|^must have\W*$|^nice to have\W*$",
-    re.I,
-)
+_VALUES = re.compile(r"[,;|\n\t·•▪\"\[\]()]|\s/\s")
+#: A sentence has at least so many words and a stop at its end.
+SENTENCE = 6
 
 
 def normal(line: str, owner: str = "") -> str:
@@ -69,8 +56,8 @@ def normal(line: str, owner: str = "") -> str:
     return _NUMBER.sub("#", line)
 
 
-def features(line: str) -> list[str]:
-    """The words, word pairs and tags of a normal line."""
+def features(line: str, own: bool = False) -> list[str]:
+    """The words, word pairs and tags of a normal line; ``own`` if it holds a value of its record."""
     words = _WORD.findall(line)
     out = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
     text = line.strip()
@@ -80,40 +67,59 @@ def features(line: str) -> list[str]:
     stop = text[-1:]
     out.append("<stop>" if stop and stop in ".!?" else "<colon>" if stop == ":" else "<open>")
     out.append(_SIZES[min(len(words), 30) // 3])
+    if own:
+        out.append("<own>")
     return out
 
 
-def seed_label(line: str) -> bool | None:
-    """True for a normal line of the page, False for the employer's, None where the wording does not show it."""
+def holds_own(line: str, values: list[str]) -> bool:
+    """A line that is no sentence and holds a value of its record."""
+    return not is_sentence(line) and any(v in line for v in values)
+
+
+def is_sentence(line: str) -> bool:
     text = line.strip()
-    if not text:
-        return None
-    bullet = text[:2] in ("- ", "* ", "• ")
-    bare = text[2:] if bullet else text
-    words = len(_WORD.findall(bare))
-    if _HEADING.search(bare) or bare.startswith("skills:"):
-        return False
-    tags = len(_SEPARATOR.findall(text))
-    whole = bare[-1:] in ".!?"
-    named = "\x01" in text
-    if not bullet and not named and _PAGE.search(bare) or tags >= 2 and not whole:
-        return True
-    if words >= 6 and whole and not tags or named and words >= 5 or bullet and words >= 4:
-        return False
-    return None
-
-
-def line_score(line: str, weights: dict[str, float], base: float) -> float:
+    return text[-1:] in tuple(".!?") and len(text.split()) >= SENTENCE
+
+
+def structure_labels(lines: list[str], values: list[str]) -> list[bool | None]:
+    """True for a normal line of the page, False for the employer's, None where structure does not show it.
+
+    ``values`` are values of the page's own record, normal as the lines are.
+    """
+    full = [is_sentence(x) for x in lines]
+    at = [i for i, x in enumerate(full) if x]
+    said = [i for i, x in enumerate(lines) if x.strip()]
+    place = {i: k for k, i in enumerate(said)}
+    out: list[bool | None] = [None] * len(lines)
+    for i in said:
+        if "\x01" in lines[i] or holds_own(lines[i], values):
+            out[i] = False
+            continue
+        # The first and last sentence beside this line.
+        first, last = (at[1:2] if at[:1] == [i] else at[:1]), (at[-2:-1] if at[-1:] == [i] else at[-1:])
+        if not first or not last:
+            continue
+        outside = i < first[0] or i > last[0]
+        k = place[i]
+        if outside or full[i]:
+            out[i] = outside or full[i] and (k == 0 or k == len(said) - 1)
+        elif full[said[k - 1]] and full[said[k + 1]]:
+            out[i] = False
+    return out
+
+
+def line_score(line: str, weights: dict[str, float], own: bool = False) -> float:
     """The score of a normal line; a blank one has 0."""
-    found = features(line)
+    found = features(line, own)
     if len(found) < 3:
         return 0.0
     get = weights.get
     total = sum([get(f, 0.0) for f in found])
-    return base + (total if len(found) <= 2 * LONG else total * 2 * LONG / len(found))
+    return total if len(found) <= 2 * LONG else total * 2 * LONG / len(found)
 
 
-def best_ranges(scores: list[float], ranges: int | None = None, opening: float = OPEN) -> list[bool]:
+def best_ranges(scores: list[float], ranges: int | None = 1, opening: float = OPEN) -> list[bool]:
     """Which lines belong to the ranges of greatest total score.
 
     Without a limit each range costs ``opening``; with ``ranges=1`` it is the maximum-scoring subsequence.
@@ -146,19 +152,21 @@ def best_ranges(scores: list[float], ranges: int | None = None, opening: float =
     return kept
 
 
-def learn(pages: DataFrame, text: str, owner: str | None = None, labels: DataFrame | None = None, key: str | None = None) -> tuple[dict[str, float], float]:
-    """Weights and base score from a bounded sample of labelled pages.
+def _values(text: str | None, owner: str) -> list[str]:
+    return [normal(v.strip(), owner) for v in _VALUES.split(text or "") if len(v.strip()) > 1]
+
+
+def learn(pages: DataFrame, labels: DataFrame | None = None, key: str | None = None) -> dict[str, float]:
+    """Weights from a bounded sample of labelled pages; ``pages`` has ``__t``, ``__o`` and ``__v``.
 
-    ``labels`` (key, line_no, is_page), if given, replaces the seeds; only its pages are read.
+    ``labels`` (key, line_no, is_page), if given, replaces the structure; only its pages are read.
     """
-    cols = [F.col(text).alias("__t"), (F.col(owner) if owner else F.lit("")).alias("__o")]
+    cols = ["__t", "__o", "__v"]
     if labels is not None:
         marks = labels.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("line_no", "is_page"))).alias("__l"))
-        pages = pages.join(marks, key)
-        cols.append(F.to_json("__l").alias("__l"))
+        pages = pages.join(marks, key).select(*cols, F.to_json("__l").alias("__l"))
     else:
-        cols.append(F.lit(None).cast("string").alias("__l"))
-    pages = pages.select(*cols).filter(F.col("__t").isNotNull())
+        pages = pages.select(*cols, F.lit(None).cast("string").alias("__l"))
     n = pages.count()
     if n > SAMPLE_PAGES:
         share = int(SAMPLE_PAGES / n * 2**31)
@@ -170,48 +178,58 @@ def learn(pages: DataFrame, text: str, owner: str | None = None, labels: DataFra
         page, body = Counter(), Counter()
         lines = [0, 0]
         for batch in batches:
-            for t, o, marks in zip(batch["__t"], batch["__o"], batch["__l"]):
-                marks = json.loads(marks) if isinstance(marks, str) else None
+            for t, o, v, marks in zip(batch["__t"], batch["__o"], batch["__v"], batch["__l"]):
                 o = (o or "").casefold()
-                for i, line in enumerate(t.split("\n"), 1):
-                    line = normal(line, o)
-                    label = marks.get(str(i)) if marks is not None else seed_label(line)
-                    if label is None:
-                        continue
-                    lines[label] += 1
-                    (page if label else body).update(set(features(line)))
+                found, values = [normal(line, o) for line in t.split("\n")], _values(v, o)
+                if isinstance(marks, str):
+                    told = json.loads(marks)
+                    labelled = [told.get(str(i)) for i in range(1, len(found) + 1)]
+                else:
+                    labelled = structure_labels(found, values)
+                for line, label in zip(found, labelled):
+                    if label is not None:
+                        lines[label] += 1
+                        (page if label else body).update(set(features(line, holds_own(line, values))))
         page[""], body[""] = lines[1], lines[0]
         names = list(page.keys() | body.keys())
         yield pd.DataFrame({"f": names, "p": [page[x] for x in names], "b": [body[x] for x in names]})
 
-    table = pages.mapInPandas(count, "f string, p bigint, b bigint").groupBy("f").agg(F.sum("p").alias("p"), F.sum("b").alias("b"))
-    rows = table.filter((F.col("p") + F.col("b") >= MIN_COUNT) | (F.col("f") == "")).orderBy((F.col("f") != ""), (-F.col("p") - F.col("b")), "f").limit(VOCABULARY).collect()
+    # Bounded by the words of the sampled pages.
+    rows = pages.mapInPandas(count, "f string, p bigint, b bigint").groupBy("f").agg(F.sum("p").alias("p"), F.sum("b").alias("b")).collect()
     total = next(((r.p, r.b) for r in rows if r.f == ""), (0, 0))
     p_all, b_all = total[0] + 1, total[1] + 1
     odds = lambda r: math.log((r.b + 0.5) / b_all) - math.log((r.p + 0.5) / p_all)
-    return {r.f: max(-BOUND, min(BOUND, odds(r))) for r in rows if r.f}, 0.0
+    # A feature seen once or twice says little: the smoothing alone keeps it near the base odds.
+    return {r.f: max(-BOUND, min(BOUND, odds(r) * (r.p + r.b) / (r.p + r.b + 1))) for r in rows if r.f}
+
 
+def page_lines(pages: DataFrame, key: str, text: str, owner: str | None = None, values: str | None = None, labels: DataFrame | None = None, ranges: int | None = 1) -> DataFrame:
+    """(key, line_no) of every line that belongs to the page and not to the employer's text.
 
-def page_lines(pages: DataFrame, key: str, text: str, owner: str | None = None, labels: DataFrame | None = None, ranges: int | None = None) -> DataFrame:
-    """(key, line_no) of every line that belongs to the page and not to the employer's text."""
-    pages = pages.select(F.col(key), known(F.col(text)).alias("__t"), (F.col(owner) if owner else F.lit("")).alias("__o")).filter(F.col("__t").isNotNull())
-    weights, base = learn(pages, "__t", "__o", labels, key)
+    ``owner`` and ``values`` are columns with the employer's name and with values of the record, which tie a line to its
+    posting.  ``ranges=1`` keeps the single best contiguous region; None keeps as many as pay for their opening, for pages
+    that carry widgets amid the text.
+    """
+    column = lambda c: F.col(c) if c else F.lit("")
+    pages = pages.select(F.col(key), known(F.col(text)).alias("__t"), column(owner).alias("__o"), known(column(values)).alias("__v")).filter(F.col("__t").isNotNull())
+    weights = learn(pages, labels, key)
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, float] = {}
+        cache: dict[tuple[str, bool], float] = {}
         for batch in batches:
             keys, numbers = [], []
-            for k, t, o in zip(batch[key], batch["__t"], batch["__o"]):
-                lines = t.split("\n")
+            for k, t, o, v in zip(batch[key], batch["__t"], batch["__o"], batch["__v"]):
                 o = (o or "").casefold()
+                lines, own = t.split("\n"), _values(v, o)
                 scores = []
                 for line in lines:
                     line = normal(line, o)
-                    score = cache.get(line)
+                    asked = line, bool(own) and holds_own(line, own)
+                    score = cache.get(asked)
                     if score is None:
-                        score = line_score(line, weights, base)
+                        score = line_score(line, weights, asked[1])
                         if len(cache) < 100_000 and len(line) < 200:
-                            cache[line] = score
+                            cache[asked] = score
                     scores.append(score)
                 for i, (line, kept) in enumerate(zip(lines, best_ranges(scores, ranges)), 1):
                     if not kept and line.strip():
@@ -223,9 +241,9 @@ def page_lines(pages: DataFrame, key: str, text: str, owner: str | None = None,
     return pages.mapInPandas(mark, f"`{key}` {kind}, line_no int")
 
 
-def main_text(pages: DataFrame, key: str, text: str, owner: str | None = None) -> DataFrame:
+def main_text(pages: DataFrame, key: str, text: str, owner: str | None = None, values: str | None = None, labels: DataFrame | None = None, ranges: int | None = 1) -> DataFrame:
     """(key, main_text): what remains, in order; null where nothing does."""
-    gone = page_lines(pages, key, text, owner).groupBy(key).agg(F.collect_set("line_no").alias("__no"))
+    gone = page_lines(pages, key, text, owner, values, labels, ranges).groupBy(key).agg(F.collect_set("line_no").alias("__no"))
     # A key that repeats gives its lines once for each row; equal keys hold equal texts or are told apart before.
     lines = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(F.coalesce(F.col("__no"), F.array().cast("array<int>")), i + 1))
     return pages.join(gone, key, "left").select(F.col(key), F.array_join(lines, "\n").alias("main_text"))

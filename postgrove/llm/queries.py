@@ -60,11 +60,11 @@ def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return page_lines(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company")
+    return page_lines(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company", "skills", ranges=None)
 
 
 def p3_main_text(spark: SparkSession, d: str) -> DataFrame:
-    return main_text(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company")
+    return main_text(spread(table(spark, d, "jobs"), "row_id"), "row_id", "full_description", "company", "skills", ranges=None)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postgrove.llm.boilerplate import best_ranges, main_text, page_lines
+from postgrove.llm.boilerplate import best_ranges, main_text, page_lines, structure_labels
 from postgrove.llm.mixing import mix, mixture_report
 from postgrove.llm.packing import pack, pack_histogram
 from postgrove.llm.queries import ORACLE, QUERIES
@@ -26,9 +26,9 @@ def test_best_ranges_against_all_choices():
     for _ in range(200):
         s = [rng.choice([-3, -1, -0.5, 0.5, 1, 2]) for _ in range(rng.randrange(0, 9))]
         best = max((total(s, k, 1.0) for k in itertools.product([False, True], repeat=len(s))), default=0)
-        assert abs(total(s, best_ranges(s), 1.0) - best) < 1e-9
+        assert abs(total(s, best_ranges(s, None), 1.0) - best) < 1e-9
         one = max([0.0] + [sum(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1)])
-        kept = best_ranges(s, ranges=1)
+        kept = best_ranges(s)
         assert abs(sum(x for x, k in zip(s, kept) if k) - one) < 1e-9
 
 
@@ -36,13 +36,29 @@ def test_page_lines(spark, sf):
     jobs = spark.read.parquet(f"{sf}/jobs.parquet").select("row_id", "company", "full_description")
     page = "Menu  Close  Search\nWe use cookies to measure visits. Accept all\nAcme Labs is a privately held group with teams in several states.\nRequirements\n- You will extend the home page and the search menu of Orax for vendors.\nSet alert\n- Travel to 9 sites by year end to meet auditors.\n\n© 2024 HireField. All rights reserved."
     more = spark.createDataFrame([(-1, "Acme Labs", page), (-2, None, None), (-3, "x", ""), (-4, "x", "Not Specified"), (-1, "Acme Labs", page)], "row_id bigint, company string, full_description string")
-    out = page_lines(jobs.unionByName(more), "row_id", "full_description", "company").filter("row_id < 0").collect()
+    out = page_lines(jobs.unionByName(more), "row_id", "full_description", "company", ranges=None).filter("row_id < 0").collect()
     assert sorted((r.row_id, r.line_no) for r in out) == [(-1, n) for n in (1, 1, 2, 2, 6, 6, 9, 9)]
     assert page_lines(jobs.filter("false"), "row_id", "full_description", "company").count() == 0
-    text = {r.row_id: r.main_text for r in main_text(jobs.unionByName(more.limit(4)), "row_id", "full_description", "company").filter("row_id < 0").collect()}
+    text = {r.row_id: r.main_text for r in main_text(jobs.unionByName(more.limit(4)), "row_id", "full_description", "company", ranges=None).filter("row_id < 0").collect()}
     assert text[-1].startswith("Acme Labs is") and "cookies" not in text[-1] and text[-2] is None
 
 
+def test_structure_labels():
+    full = "you will plan the spring work here."
+    page = ["menu close", "\x01 is a group", full, "the team", full, full, "skills: sql, r", "set alert", "never pay anyone for a new job."]
+    assert structure_labels(page, ["sql"]) == [True, False, True, False, False, False, False, True, True]
+    assert structure_labels(["menu", "close"], []) == [None, None] and structure_labels(["", full], []) == [None, None] and structure_labels([], []) == []
+
+
+def test_page_lines_from_labelled_pages_of_another_language(spark):
+    text = "\n".join(["Accueil » Emplois", "Nous cherchons une personne pour tenir les comptes du groupe.", "Missions", "Vous suivez les achats et les ventes chaque semaine.", "Mentions utiles »"])
+    pages = spark.createDataFrame([(i, text) for i in range(20)] + [(99, None)], "id bigint, t string")
+    labels = spark.createDataFrame([(i, n, n in (1, 5)) for i in range(10) for n in range(1, 6)], "id bigint, line_no int, is_page boolean")
+    for ranges in (1, None):
+        got = {(r.id, r.line_no) for r in page_lines(pages, "id", "t", labels=labels, ranges=ranges).collect()}
+        assert got == {(i, n) for i in range(20) for n in (1, 5)}
+
+
 def test_pack_histogram_fits_and_places_all():
     rng = random.Random(2)
     for _ in range(200):
