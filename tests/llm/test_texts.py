@@ -46,7 +46,7 @@ def test_page_lines(spark, sf):
 def test_structure_labels():
     full = "you will plan the spring work here."
     page = ["menu close", "\x01 is a group", full, "the team", full, full, "skills: sql, r", "set alert", "never pay anyone for a new job."]
-    assert structure_labels(page, ["sql"]) == [True, False, True, False, False, False, False, True, True]
+    assert structure_labels(page, ["sql"]) == [True, False, True, False, False, False, False, None, True]
     assert structure_labels(["menu", "close"], []) == [None, None] and structure_labels(["", full], []) == [None, None] and structure_labels([], []) == []
 
 
