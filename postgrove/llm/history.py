@@ -1,27 +1,36 @@
 """Deduplicating new batches against all history.
 
-A record is a set of tokens (its ad key, or the word shingles of a text).  ``band_keys`` makes minwise signatures and
-cuts them into bands; ``History`` keeps (bucket, band key, token set) in a table partitioned by bucket.  A batch probes
-only the buckets its own band keys fall into, and candidates are verified by the exact Jaccard similarity.  Then the
-keys of accepted records are appended; nothing of the history is read again or rewritten.
+A record is a set of tokens (its ad key, or the word shingles of a text).  Minwise signatures are cut into bands, and a
+band's hash is its key.  ``History`` keeps two tables in the shared folder: (bucket, band key, set key), partitioned by
+bucket, and, where similarity short of equality counts, (bucket, set key, token set), partitioned by the set key's bucket.
+``accept`` takes one batch: it collects the numbers of the buckets the batch falls into (at most ``buckets`` of them),
+reads only these through a literal filter on the partition, verifies the candidates by the exact Jaccard similarity, and
+appends the keys of the accepted records as new files.  Nothing of the history is read outside those buckets, and nothing
+is rewritten.
 
 Records with equal token sets are one *set row*, kept with the order of its earliest record, before any join.  So a hot
 ad costs one row on either side however often it was seen, and no two records of one set are ever paired.
 
 With ``threshold=1`` (the ad keys) equality of the sets is what counts; one band over the whole signature finds it.
-Near-duplicates of texts use five-word shingles, 0.8 or more and several bands.
+Near-duplicates of texts use five-word shingles, 0.8 or more and 20 bands of 5 rows, which miss a pair of similarity 0.8
+with a probability of 0.0004.
 
-Defined cases: a record without tokens (null or empty) matches nothing and is never a duplicate; a null order value is
-earliest; ties in order go by id; repeated rows of one id are one record; an empty history or batch gives an empty
-result; other columns of the inputs are ignored.
+Defined cases: a record without tokens (null or empty) matches nothing and is never a duplicate, nor is it kept; a null
+order value is earliest; ties in order go by id; repeated rows of one id are one record; an empty history or batch gives an
+empty result; other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.contract import known
 from postgrove.functions.source import site
+from postgrove.session import stored
 
 #: The host names of the three sites in the test tables.
 HOSTS = {"lnkboard": "linkedin", "nkrjobs": "naukri", "indboard": "indeed"}
@@ -56,19 +65,62 @@ def _got(c: Column, pattern: str) -> Column:
     return F.when(x != "", x)
 
 
+_WORD = re.compile(r"[^\W_]+")
+
+
 def word_shingles(text: Column, words: int = 5) -> Column:
-    """Distinct runs of five words; a shorter text is one shingle, one without words has none."""
-    split = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    runs = lambda ws: F.when(F.size(ws) < 1, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - words + 1)), lambda i: F.array_join(F.slice(ws, i, words), " ")))
-    )
-    return F.transform(F.array(split), runs)[0]  # the split text is bound once
+    """Distinct runs of five words, as 64-bit numbers; a shorter text is one shingle, one without words has none."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def shingles(texts: pd.Series) -> pd.Series:
+        import xxhash
+
+        known_: dict[str, int] = {}
+        out = []
+        for text_ in texts:
+            found = _WORD.findall(text_.lower()) if text_ else []
+            numbers = []
+            for w in found:
+                n = known_.get(w)
+                if n is None:
+                    n = known_[w] = xxhash.xxh64_intdigest(w)
+                numbers.append(n)
+            if len(known_) > 500_000:
+                known_.clear()
+            each = np.array(numbers, dtype=np.uint64)
+            size = min(words, len(each))
+            mixed = np.zeros(max(0, len(each) - size + 1) if size else 0, dtype=np.uint64)
+            for k in range(size):
+                mixed = (mixed ^ each[k:k + len(mixed)]) * np.uint64(0xBF58476D1CE4E5B9)
+                mixed ^= mixed >> np.uint64(31)
+            out.append(np.unique(mixed.view(np.int64)))
+        return pd.Series(out)
+
+    return shingles(text)
 
 
 def band_keys(tokens: Column, bands: int, rows: int) -> Column:
     """array<bigint>: for each band the hash of its ``rows`` minwise values."""
-    least = lambda seed: F.array_min(F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t)))
-    return F.array(*[F.xxhash64(F.lit(b), *[least(b * rows + r) for r in range(rows)]) for b in range(bands)])
+    rng = np.random.default_rng(20_251)
+    factor, shift = (rng.integers(1, 2**63, size=bands * rows, dtype=np.uint64) | np.uint64(1) for _ in range(2))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(sets: pd.Series) -> pd.Series:
+        out = []
+        for held in sets:
+            x = np.asarray(held, dtype=np.int64).view(np.uint64)
+            least = np.full(bands * rows, np.uint64(2**64 - 1))
+            for at in range(0, len(x), 4096):  # so that a very long text is not held as a wide table at once
+                h = x[at:at + 4096, None] * factor + shift
+                least = np.minimum(least, (h ^ (h >> np.uint64(29))).min(axis=0))
+            mixed = np.arange(bands, dtype=np.uint64)
+            for r in range(rows):
+                mixed = (mixed ^ least.reshape(bands, rows)[:, r]) * np.uint64(0x94D049BB133111EB)
+                mixed ^= mixed >> np.uint64(31)
+            out.append(mixed.view(np.int64))
+        return pd.Series(out)
+
+    return keys(tokens)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -77,53 +129,90 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 class History:
-    """The accepted records' band keys, in a table at ``path`` partitioned by bucket."""
+    """The accepted records' band keys and sets, in tables under ``path`` partitioned by bucket."""
 
-    def __init__(self, spark: SparkSession, path: str, bands: int = 1, rows: int = 2, threshold: float = 1.0, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, bands: int = 1, rows: int = 1, threshold: float = 1.0, buckets: int = 64):
         self.spark, self.path, self.bands, self.rows, self.threshold, self.buckets = spark, path, bands, rows, threshold, buckets
+        self.exact = threshold >= 1
+
+    def _bucket(self, c: str) -> Column:
+        return F.pmod(F.col(c), F.lit(self.buckets)).cast("int")
 
     def _banded(self, sets: DataFrame) -> DataFrame:
-        # Tokens are stored as 64-bit hashes: a verified similarity of the hashed sets is that of the sets.
-        return (
-            sets.withColumn("band", F.explode(F.transform(band_keys(F.col("tokens"), self.bands, self.rows), lambda k: k)))
-            .withColumn("bucket", F.pmod("band", F.lit(self.buckets)).cast("int"))
-        )
-
-    @staticmethod
-    def sets(records: DataFrame, tokens: Column, order: list[Column] | None = None) -> DataFrame:
-        """One row for each distinct token set: set_key, tokens (hashed, sorted), and its earliest order."""
+        """(set_key, band, bucket): equal sets have one band, their own key; else the bands of the signature."""
+        keys = F.array("set_key") if self.exact else band_keys(F.col("tokens"), self.bands, self.rows)
+        return sets.select("set_key", F.explode(keys).alias("band")).withColumn("bucket", self._bucket("band"))
+
+    def prepared(self, records: DataFrame, tokens: Column, key: str | None = None, order: list[Column] | None = None) -> DataFrame:
+        """(key, at, set_key, tokens) of the records that have tokens; tokens are hashed and sorted."""
         hashed = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), lambda t: F.xxhash64(t))))
-        keyed = records.select(hashed.alias("tokens"), *([F.struct(*order).alias("at")] if order else [])).filter(F.size("tokens") > 0)
-        keyed = keyed.withColumn("set_key", F.xxhash64("tokens"))
-        return keyed.groupBy("set_key", "tokens").agg(*([F.min("at").alias("at")] if order else [F.lit(1).alias("one")]))
+        columns = [F.col(key), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order or [])], F.col(key).alias("k")).alias("at")] if key else []
+        rows = records.select(*columns, hashed.alias("tokens")).filter(F.size("tokens") > 0)
+        return rows.withColumn("set_key", F.xxhash64("tokens"))
+
+    def _write(self, df: DataFrame, name: str) -> None:
+        # Rebalanced by size, so a large bucket is written by several tasks and small ones share a task.
+        df.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{name}")
+
+    def _keep(self, sets: DataFrame) -> None:
+        self._write(self._banded(sets), "bands")
+        if not self.exact:
+            self._write(sets.select("set_key", "tokens").withColumn("bucket", self._bucket("set_key")), "sets")
 
     def append(self, records: DataFrame, tokens: Column) -> None:
         """Add the keys of accepted records."""
-        banded = self._banded(self.sets(records, tokens)).select("set_key", "tokens", "band", "bucket")
-        banded.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.path)
-
-    def read(self) -> DataFrame:
-        return self.spark.read.schema("set_key bigint, tokens array<bigint>, band bigint, bucket int").parquet(self.path)
+        rows = self.prepared(records, tokens).dropDuplicates(["set_key"])
+        self._keep(rows if self.exact else stored(rows, "history-sets"))
+
+    def _read(self, name: str, schema: str, asked: DataFrame) -> DataFrame:
+        """The table's rows in the buckets of ``asked``."""
+        try:
+            held = self.spark.read.schema(schema + ", bucket int").parquet(f"{self.path}/{name}")
+        except Exception as error:  # nothing accepted yet
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return self.spark.createDataFrame([], schema + ", bucket int")
+        hit = sorted(r.bucket for r in asked.select("bucket").distinct().collect())  # at most ``buckets`` numbers
+        return held.filter(F.col("bucket").isin(hit)) if hit else held.limit(0)
+
+    def bands_of(self, asked: DataFrame) -> DataFrame:
+        return self._read("bands", "set_key bigint, band bigint", asked)
+
+    def _first(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The batch's sets, and (set_key, first, old): the earliest like record of the batch, and whether the history holds one."""
+        sets = rows.groupBy("set_key").agg(F.min("at").alias("at"), *([] if self.exact else [F.first("tokens").alias("tokens")]))
+        sets = stored(sets, "batch-sets")
+        mine = self._banded(sets) if self.exact else stored(self._banded(sets), "batch-bands")
+        held = self.bands_of(mine)
+        first = sets.select("set_key", F.col("at").alias("first"))
+        if self.exact:
+            old = mine.join(held, ["bucket", "band"], "left_semi").select("set_key", F.lit(True).alias("old"))
+            return sets, first.join(old, "set_key", "left")
+        tokens = sets.select(F.col("set_key").alias("a"), F.col("tokens").alias("ta"))
+        like = lambda pairs, others: pairs.join(tokens, "a").join(others, "b").filter(jaccard(F.col("ta"), F.col("tb")) >= self.threshold)
+        met = mine.select(F.col("set_key").alias("a"), "bucket", "band").join(held.select(F.col("set_key").alias("b"), "bucket", "band"), ["bucket", "band"]).select("a", "b").distinct()
+        met = stored(met, "met-history")
+        theirs = self._read("sets", "set_key bigint, tokens array<bigint>", met.select(F.pmod("b", F.lit(self.buckets)).cast("int").alias("bucket")))
+        old = like(met, theirs.select(F.col("set_key").alias("b"), F.col("tokens").alias("tb")).dropDuplicates(["b"])).select(F.col("a").alias("set_key"), F.lit(True).alias("old")).distinct()
+        pairs = mine.select(F.col("set_key").alias("a"), "band").join(mine.select(F.col("set_key").alias("b"), "band"), "band").filter("a <> b").select("a", "b").distinct()
+        near = like(pairs, sets.select(F.col("set_key").alias("b"), F.col("tokens").alias("tb"), F.col("at").alias("near"))).groupBy(F.col("a").alias("set_key")).agg(F.min("near").alias("near"))
+        first = first.join(near, "set_key", "left").select("set_key", F.least("first", F.coalesce("near", "first")).alias("first"))
+        return sets, first.join(old, "set_key", "left")
+
+    def _seen(self, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        sets, first = self._first(rows)
+        first = stored(first, "batch-first")
+        seen = rows.join(first, "set_key").filter(F.coalesce("old", F.lit(False)) | (F.col("at") > F.col("first"))).select(key).distinct()
+        fresh = sets.join(first, "set_key").filter(~F.coalesce("old", F.lit(False)) & (F.col("at") == F.col("first")))
+        return seen, fresh
 
     def seen(self, batch: DataFrame, key: str, tokens: Column, order: list[Column]) -> DataFrame:
         """The keys of the batch's records that match the history or an earlier record of the batch."""
-        order = [*order, F.col(key)]
-        sets = self.sets(batch, tokens, order)
-        mine = self._banded(sets)
-        exact = self.threshold >= 1
-        same = (F.col("a.band") == F.col("b.band")) & (F.col("a.bucket") == F.col("b.bucket"))
-        close = (F.col("a.tokens") == F.col("b.tokens")) if exact else jaccard(F.col("a.tokens"), F.col("b.tokens")) >= self.threshold
-        # Only the buckets the batch falls into are opened: dynamic partition pruning on ``bucket``.
-        old = mine.alias("a").join(self.read().alias("b"), same & close, "left_semi").select("set_key").distinct().withColumn("old", F.lit(True))
-        first = sets.select("set_key", F.col("at").alias("first"))
-        if not exact:
-            near = (
-                mine.alias("a").join(mine.alias("b"), same & (F.col("a.set_key") != F.col("b.set_key")) & close)
-                .groupBy(F.col("a.set_key").alias("set_key")).agg(F.min("b.at").alias("near"))
-            )
-            first = first.join(near, "set_key", "left").select("set_key", F.least("first", F.coalesce("near", "first")).alias("first"))
-        first = first.join(old, "set_key", "left")
-        hashed = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), lambda t: F.xxhash64(t))))
-        rows = batch.select(F.col(key), F.struct(*order).alias("at"), hashed.alias("tokens")).filter(F.size("tokens") > 0)
-        rows = rows.select(F.col(key), "at", F.xxhash64("tokens").alias("set_key"))
-        return rows.join(first, "set_key").filter(F.coalesce("old", F.lit(False)) | (F.col("at") > F.col("first"))).select(key).distinct()
+        return self._seen(stored(self.prepared(batch, tokens, key, order), "batch"), key)[0]
+
+    def accept(self, batch: DataFrame, key: str, tokens: Column, order: list[Column]) -> DataFrame:
+        """As ``seen``; the keys of the records that match nothing are added to the history."""
+        seen, fresh = self._seen(stored(self.prepared(batch, tokens, key, order), "batch"), key)
+        seen = stored(seen, "seen")
+        self._keep(fresh)
+        return seen

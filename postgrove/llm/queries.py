@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postgrove.functions.timeparse import parse_instant
 from postgrove.llm.boilerplate import main_text, page_lines
 from postgrove.llm.canonical import map_places
-from postgrove.llm.history import History, ad_key
+from postgrove.llm.history import History, ad_key, word_shingles
 from postgrove.contract import known, missing
 from postgrove.functions.source import site
 from postgrove.llm.linkage import link
@@ -23,11 +24,35 @@ from postgrove.session import shared_dir, spread, stored, table
 _MISSING = "('', 'not specified', 'not_specified', 'not available', 'n/a', 'na', 'none', 'null', '-')"
 
 
+#: The archive joins the history in so many steps, each some whole batches in the order of their times.
+STEPS = 3
+
+
+def _in_steps(archive: DataFrame, steps: int = STEPS) -> list[DataFrame]:
+    """The archive's batches, earliest first, cut at whole batches; a batch without a time is earliest."""
+    at = parse_instant(F.col("extracted_at_utc"))
+    cuts = archive.agg(F.percentile_approx(F.unix_micros(at), [i / steps for i in range(1, steps)]).alias("c")).first().c or []
+    edges = [None, *sorted(set(cuts)), None]
+    micros = F.coalesce(F.unix_micros(at), F.lit(-(2**62)))
+    return [archive.filter((micros > low if low is not None else F.lit(True)) & (micros <= high if high is not None else F.lit(True))) for low, high in zip(edges, edges[1:])]
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     key = F.array(ad_key(F.col("source"), F.col("job_id"), F.col("link")))
     history = History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
     history.append(table(spark, d, "jobs").select("source", "job_id", "link"), key)
-    return history.seen(table(spark, d, "batch_archive"), "archive_id", key, [parse_instant(F.col("extracted_at_utc"))])
+    order = [parse_instant(F.col("extracted_at_utc"))]
+    return reduce(DataFrame.unionByName, [history.accept(batch, "archive_id", key, order) for batch in _in_steps(table(spark, d, "batch_archive"))])
+
+
+def p7_near(spark: SparkSession, d: str) -> DataFrame:
+    """Archive rows whose description is like an earlier one, of the jobs or the archive, by five-word shingles at 0.8."""
+    history = History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}", bands=20, rows=5, threshold=0.8)
+    shingles = word_shingles(known(F.col("full_description")))
+    history.append(spread(table(spark, d, "jobs").select("row_id", "full_description"), "row_id"), shingles)
+    order = [parse_instant(F.col("extracted_at_utc"))]
+    steps = _in_steps(spread(table(spark, d, "batch_archive").select("archive_id", "extracted_at_utc", "full_description"), "archive_id"), 2)
+    return reduce(DataFrame.unionByName, [history.accept(batch, "archive_id", shingles, order) for batch in steps])
 
 
 _AD = rf"""
@@ -126,7 +151,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return mixture_report(p9_mixed(spark, d), table(spark, d, "source_weights"))
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixed": p9_mixed, "p9_report": p9_report, "p1_found": p1_found, "p1_confidence": p1_confidence, "p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found}
+QUERIES = {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixed": p9_mixed, "p9_report": p9_report, "p1_found": p1_found, "p1_confidence": p1_confidence, "p10_found": p10_found, "p10_scores": p10_scores, "p3_found": p3_found, "p3_main_text": p3_main_text, "p4_found": p4_found, "p5_found": p5_found, "p5_consensus": p5_consensus, "p7_found": p7_found, "p7_near": p7_near}
 ORACLE = {
     "p5_found": rf"""
 WITH v AS (

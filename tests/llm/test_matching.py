@@ -66,6 +66,52 @@ def test_history_near_duplicates(spark):
     assert got == {i for i, t in rows[:7] if any(jac(t, b) >= 0.8 for b in base) or any(jac(t, u) >= 0.8 for j, u in rows[:7] if j < i)}
 
 
+def test_a_batch_reads_only_its_buckets(spark):
+    h = History(spark, path(spark), buckets=32)
+    h.append(spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string"), F.array("k"))
+    batch = spark.createDataFrame([(1, "k7"), (2, "new")], "id int, k string")
+    asked = h._banded(h.prepared(batch, F.array("k"), "id"))
+    hit = {r.bucket for r in asked.collect()}
+    for _ in range(2):  # the second time beside the files of the first batch
+        held = h.bands_of(asked)
+        assert {int(f.split("bucket=")[1].split("/")[0]) for f in held.inputFiles()} <= hit and 0 < len(hit) <= 2
+        assert "PartitionFilters: [bucket" in held._jdf.queryExecution().toString() or "bucket" in str(held._jdf.queryExecution().executedPlan().toString())
+        before = {f: f for f in held.inputFiles()}
+        got = {r.id for r in h.accept(batch, "id", F.array("k"), []).collect()}
+        assert got in ({1}, {1, 2})
+        assert set(before) <= set(h.bands_of(asked).inputFiles())  # nothing is rewritten
+    assert got == {1, 2}
+
+
+def test_accept_in_steps_is_accept_at_once(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["hot", *[f"k{j}" for j in range(60)]]), i // 40) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, k string, at int")
+    whole, steps = History(spark, path(spark)), History(spark, path(spark))
+    want = {r.id for r in whole.accept(df, "id", F.array("k"), [F.col("at")]).collect()}
+    got = set()
+    for n in range(5):
+        got |= {r.id for r in steps.accept(df.filter(F.col("at") == n), "id", F.array("k"), [F.col("at")]).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_near_duplicate_recall_against_brute_force(spark):
+    rng = random.Random(10)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(80)] for _ in range(150)]
+    changed = []
+    for t in base:
+        t = list(t)
+        for _ in range(rng.randrange(0, 4)):
+            t[rng.randrange(len(t))] = "x"
+        changed.append(t)
+    h = History(spark, path(spark), bands=20, rows=5, threshold=0.8)
+    h.append(spark.createDataFrame([(" ".join(t),) for t in base], "t string"), word_shingles(F.col("t")))
+    got = {r.id for r in h.seen(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(changed)], "id int, t string"), "id", word_shingles(F.col("t")), []).collect()}
+    sh = lambda t: {tuple(t[i:i + 5]) for i in range(len(t) - 4)}
+    want = {i for i, (a, b) in enumerate(zip(base, changed)) if len(sh(a) & sh(b)) / len(sh(a) | sh(b)) >= 0.8}
+    assert got <= want and len(got) >= 0.98 * len(want) and 50 < len(want) < 150
+
+
 def test_survivors_follow_the_rank_and_consensus(spark):
     rng = random.Random(3)
     rows = [(g, i * 10 + g, rng.choice(["MBA, BCA", "MBA; BCA", "B.Tech", "B.Te…", None]), rng.randrange(2), rng.choice([1, 2, None])) for g in range(12) for i in range(9)]
