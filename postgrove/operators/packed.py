@@ -1,9 +1,11 @@
 """Several values packed in one field: infer the delimiters of each source, then split and explode with position.
 
-Candidates are scored per source and field on two figures over all rows: how consistently a text that holds the
-delimiter yields two or more pieces, and how regular those pieces are (short, balanced, beginning like a value).
-A candidate below either bound is not split at for that source.  Scores need ``MIN_SUPPORT`` texts; below that the
-score over all sources counts, and without any evidence the candidate is accepted.
+Every candidate is scored per source and field over all texts that hold it outside quotes and parentheses:
+*piece-count consistency* is the share of these texts that it cuts into at least two values and at least as many as any
+other candidate does, so a mark inside names (``Routing & Switching``) or a rare stray falls behind the texts' real
+delimiter; *type regularity* is the share of its pieces that begin like a value and are no longer than one.  Both are
+drawn towards the figures of all sources by ``PRIOR`` texts' worth, and these towards a prior belief, so a source with few
+texts leans on the others and no least number of texts decides.  A candidate that does not earn both bounds is not split at for that source and field.
 
 What stands inside double quotes or parentheses is never divided; a slash divides only between blanks.
 
@@ -17,13 +19,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postgrove.contract import known, trimmed
-
-#: name -> (character class member, or empty for the slash between blanks)
-DELIMITERS = {"comma": ",", "semicolon": ";", "pipe": "|", "line": r"\n\r", "tab": r"\t", "dot": "·", "bullet": "•▪", "slash": ""}
-MIN_SUPPORT = 20
-MIN_CONSISTENCY = 0.5
+from postgrove.session import stored
+
+#: name -> member of a character class.
+DELIMITERS = {"comma": ",", "semicolon": ";", "pipe": "|", "line": r"\n\r", "tab": r"\t", "dot": "·", "bullet": "•▪", "colon": ":"}
+#: Candidates that divide only between blanks.
+SPACED = {"slash": "/", "ampersand": "&"}
+CANDIDATES = [*DELIMITERS, *SPACED]
+MIN_CONSISTENCY = 0.7
 MIN_REGULARITY = 0.8
-MAX_SOURCES = 1000
+PRIOR = 10.0
+#: What is thought of a candidate before any text: a colon or an ampersand mostly stands inside one value.
+BELIEF, DOUBT, DOUBTED = 0.9, 0.3, ["colon", "ampersand"]
 
 _RUNS = r'"[^"]*+(?:"|\z)|\((?:[^()]++|\([^()]*+\))*+(?:\)|\z)'
 #: A regular piece begins like a value, after blanks, list marks or an opening quote, and has at most REGULAR_LENGTH characters.
@@ -31,11 +38,21 @@ _REGULAR = r'\A[\s •▪*"\[-]*+[\p{L}\p{N}.(]'
 REGULAR_LENGTH = 90
 
 
+def _pattern(chars: Column, spaced: Column) -> Column:
+    """What one value may consist of: runs in quotes or parentheses, spaced marks where no blank stands on a side, other characters."""
+    marks = "".join(SPACED.values())
+    return F.concat(F.lit(rf"(?s)(?:{_RUNS}|"), spaced, F.lit("|[^"), chars, F.lit(rf'{marks}"(])++'))
+
+
 def piece_pattern(names: list[str]) -> str:
-    """What one value may consist of when the named delimiters divide."""
-    chars = "".join(DELIMITERS[n] for n in names)
-    slash = r"/(?!\s)|(?<!\s)/" if "slash" in names else "/"
-    return rf'(?s)(?:{_RUNS}|{slash}|[^{chars}/"(])++'
+    """The pattern of one value when the named delimiters divide."""
+    chars = "".join(DELIMITERS[n] for n in names if n in DELIMITERS)
+    spaced = "|".join(_spaced(c, n in names) for n, c in SPACED.items())
+    return rf'(?s)(?:{_RUNS}|{spaced}|[^{chars}{"".join(SPACED.values())}"(])++'
+
+
+def _spaced(c: str, divides: bool) -> str:
+    return rf"{c}(?!\s)|(?<!\s){c}" if divides else c
 
 
 def _outer(v: Column) -> Column:
@@ -69,74 +86,61 @@ def long_form(df: DataFrame, key: str, source: Column, fields: list[str]) -> Dat
 
 
 def infer_delimiters(texts: DataFrame) -> DataFrame:
-    """(__source, field, name, support, consistency, regularity, accepted); as many rows as sources x fields x delimiters."""
+    """(__source, field, name, support, consistency, regularity, accepted) of every candidate found; as many rows as sources x fields x candidates."""
 
     def stat(name: str) -> Column:
-        # Only texts that hold the delimiter are cut; the others give null and are not counted.
-        held = F.col("__v").rlike(r"\s/\s" if name == "slash" else f"[{DELIMITERS[name]}]")
+        # Only texts that hold the mark are cut, and count if it stands outside quotes and parentheses; the others give null.
+        c = SPACED.get(name)
+        held = F.col("__v").rlike(rf"\s{c}\s" if c else f"[{DELIMITERS[name]}]")
         pieces = F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern([name])), 0)
         regular = lambda x: (F.length(x) <= REGULAR_LENGTH) & x.rlike(_REGULAR)
-        full = F.filter(pieces, lambda x: F.length(F.ltrim(x)) > 0)
-        # Bound once inside a lambda: [pieces, regular pieces].
-        return F.when(held, F.transform(F.array(full), lambda p: F.array(F.size(p), F.size(F.filter(p, regular))))[0])
+        # Each step is bound once inside a lambda: the pieces; the full ones where something was left out; [full, regular].
+        cut = lambda p: F.when(F.length(F.array_join(p, "")) < F.length("__v"), F.filter(F.transform(p, trimmed), lambda x: F.length(x) > 0))
+        score = lambda p: F.when(p.isNotNull(), F.array(F.size(p), F.size(F.filter(p, regular))))
+        return F.when(held, F.transform(F.transform(F.array(pieces), cut), score)[0])
 
-    per = texts.select("__source", "field", *[stat(n).alias(n) for n in DELIMITERS])
+    per = texts.select("__source", "field", *[stat(n).alias(n) for n in CANDIDATES])
+    most = F.greatest(*[F.coalesce(F.col(n)[0], F.lit(0)) for n in CANDIDATES])
     sums = [
         x
-        for n in DELIMITERS
+        for n in CANDIDATES
         for x in (
-            F.count(F.when(F.col(n)[0] > 1, 1)).alias(f"{n}_many"),
-            F.count(F.when(F.col(n).isNotNull(), 1)).alias(f"{n}_held"),
-            F.sum(F.when(F.col(n)[0] > 1, F.col(n)[0])).alias(f"{n}_pieces"),
-            F.sum(F.when(F.col(n)[0] > 1, F.col(n)[1])).alias(f"{n}_ok"),
+            F.count(F.col(n)).alias(f"{n}_held"), F.count_if((F.col(n)[0] > 1) & (F.col(n)[0] >= most)).alias(f"{n}_leads"),
+            F.coalesce(F.sum(F.col(n)[0]), F.lit(0)).alias(f"{n}_pieces"), F.coalesce(F.sum(F.col(n)[1]), F.lit(0)).alias(f"{n}_regular"),
         )
     ]
     by = per.groupBy("__source", "field").agg(*sums)
+    parts = ("held", "leads", "pieces", "regular")
     rows = by.select(
-        "__source", "field",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("name"), *[F.col(f"{n}_{k}").alias(k) for k in ("many", "held", "pieces", "ok")]) for n in DELIMITERS])).alias("s"),
-    ).select("__source", "field", "s.*")
+        "__source", "field", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), *[F.col(f"{n}_{k}").alias(k) for k in parts]) for n in CANDIDATES])).alias("s"),
+    ).select("__source", "field", "s.*").filter("held > 0")
     from pyspark.sql import Window
 
-    w = Window.partitionBy("field", "name")  # over the aggregated rows only
-    for k in ("many", "held", "pieces", "ok"):
-        rows = rows.withColumn(f"all_{k}", F.sum(k).over(w))
-    few = F.col("held") < MIN_SUPPORT
-    pick = lambda k: F.when(few, F.col(f"all_{k}")).otherwise(F.col(k))
-    consistency, regularity = pick("many") / pick("held"), pick("ok") / pick("pieces")
-    enough = pick("held") >= MIN_SUPPORT
-    return rows.select(
-        "__source", "field", "name", F.col("held").alias("support"),
-        F.when(pick("held") > 0, consistency).alias("consistency"), F.when(pick("pieces") > 0, regularity).alias("regularity"),
-        (~enough | ((F.when(pick("held") > 0, consistency) >= MIN_CONSISTENCY) & (F.when(pick("pieces") > 0, regularity) >= MIN_REGULARITY))).alias("accepted"),
-    ).withColumn("accepted", F.coalesce("accepted", F.lit(True)))
+    w = Window.partitionBy("name")  # over the aggregated rows only
+    belief = F.when(F.col("name").isin(DOUBTED), DOUBT).otherwise(BELIEF)
+    rate = lambda a, b: (F.col(a) + PRIOR * (F.sum(a).over(w) + PRIOR * belief) / (F.sum(b).over(w) + PRIOR)) / (F.col(b) + PRIOR)
+    return rows.select("__source", "field", "name", F.col("held").alias("support"), rate("leads", "held").alias("consistency"), rate("regular", "pieces").alias("regularity")).withColumn(
+        "accepted", (F.col("consistency") >= MIN_CONSISTENCY) & (F.col("regularity") >= MIN_REGULARITY)
+    )
 
 
 def split_packed(df: DataFrame, key: str, fields: list[str], source: Column | None = None) -> DataFrame:
     """(key, field, pos, item) of every text that holds two values or more.
 
-    The inference is a job of its own over all rows.  Its result, a row for each source, field and delimiter, comes
-    to the driver only if it has at most ``MAX_SOURCES`` rows; a wider one stays distributed and is joined by key.
+    The inference is a job of its own over all rows; its result, a pattern for each source and field, is stored, so the
+    planner knows its size and broadcasts it or joins it by key.
     """
     texts = long_form(df, key, F.coalesce(source, F.lit("")) if source is not None else F.lit(""), fields)
-    names = list(DELIMITERS)
-    refused = infer_delimiters(texts).filter(~F.col("accepted")).groupBy("__source", "field").agg(F.collect_set("name").alias("__no"))
-    known_ = refused.limit(MAX_SOURCES + 1).collect()
-    literal = F.regexp_extract_all(F.col("__v"), F.lit(piece_pattern(names)), 0)  # compiled once
-    if not known_:
-        pieces = literal
-    else:
-        if len(known_) <= MAX_SOURCES:
-            refused = F.broadcast(df.sparkSession.createDataFrame(known_, refused.schema))
-        texts = texts.join(refused, ["__source", "field"], "left")
-        no = lambda n: F.coalesce(F.array_contains("__no", n), F.lit(False))
-        chars = F.concat(*[F.when(no(n), "").otherwise(F.lit(DELIMITERS[n])) for n in names])
-        slash = F.when(no("slash"), "/").otherwise(r"/(?!\s)|(?<!\s)/")
-        own = F.concat(F.lit(rf"(?s)(?:{_RUNS}|"), slash, F.lit("|[^"), chars, F.lit('/"(])++'))
-        pieces = F.when(F.col("__no").isNull(), literal).otherwise(F.regexp_extract_all(F.col("__v"), own, 0))
+    accepted = infer_delimiters(texts).groupBy("__source", "field").agg(F.collect_set(F.when(F.col("accepted"), F.col("name"))).alias("__yes"))
+    yes = lambda n: F.array_contains("__yes", n)
+    chars = F.concat(*[F.when(yes(n), c).otherwise("") for n, c in DELIMITERS.items()])
+    spaced = F.concat_ws("|", *[F.when(yes(n), _spaced(c, True)).otherwise(_spaced(c, False)) for n, c in SPACED.items()])
+    patterns = stored(accepted.select("__source", "field", _pattern(chars, spaced).alias("__pattern")), "patterns")
+    # A text without any candidate is one value and needs no pattern; equal patterns in a row are compiled once.
+    pieces = F.regexp_extract_all(F.col("__v"), F.col("__pattern"), 0)
     # Bound once inside a lambda, so that the test of its size does not compute it again.
     many = F.transform(F.array(_items(pieces)), lambda i: F.when(F.size(i) > 1, i))[0]
     return (
-        texts.select(F.col(key), "field", F.posexplode(many).alias("__p", "item"))
+        texts.join(patterns, ["__source", "field"]).select(F.col(key), "field", F.posexplode(many).alias("__p", "item"))
         .select(F.col(key), "field", (F.col("__p") + 1).cast("int").alias("pos"), "item")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from postgrove.functions.source import site
 from postgrove.operators.packed import infer_delimiters, long_form, split_packed
 from postgrove.operators.rejects import rejects, strict_load
+from postgrove.plans.sqltext import SITE
 from postgrove.session import spread, table
 
 PACKED = ["skills", "degree_required", "specialization_required"]
@@ -81,7 +82,36 @@ WITH long AS (
 SELECT row_id, field, CAST(p AS INTEGER) AS pos, i[p] AS item FROM (SELECT row_id, field, i, unnest(range(1, len(i) + 1)) AS p FROM items WHERE len(i) > 1)
 """
 
+# The candidates' figures: the text is cut into tokens, and each candidate divides at its own tokens alone.
+_P6_DELIMITERS = r"""
+WITH long AS (
+  SELECT {site} AS source, 'skills' AS field, skills AS v FROM jobs UNION ALL SELECT {site}, 'degree_required', degree_required FROM jobs
+  UNION ALL SELECT {site}, 'specialization_required', specialization_required FROM jobs
+), held AS (
+  SELECT coalesce(source, '') AS source, field, row_number() OVER () AS id, regexp_replace(regexp_replace(v, '^[\s\x{{00A0}}]+|[\s\x{{00A0}}]+$', '', 'g'), '^\[(?s:(.*?))\]?$', '\1') AS v FROM long
+  WHERE v IS NOT NULL AND lower(regexp_replace(v, '^[\s\x{{00A0}}]+|[\s\x{{00A0}}]+$', '', 'g')) NOT IN
+    ('', 'not specified', 'not_specified', 'not available', 'n/a', 'na', 'none', 'null', '-')
+), toks AS (
+  SELECT source, field, id, v, regexp_extract_all(v, '"[^"]*(?:"|$)|\((?:[^()]|\([^()]*\))*(?:\)|$)|\s[/&]\s|[,;|\n\r\t·•▪:]|[^,;|\n\r\t·•▪:"(/&\s]+|(?s:.)') AS t FROM held
+), cand(name, mark) AS (VALUES ('comma', ','), ('semicolon', ';'), ('pipe', '\|'), ('line', '[\n\r]'), ('tab', '\t'), ('dot', '·'), ('bullet', '[•▪]'), ('colon', ':'), ('slash', '\s/\s'), ('ampersand', '\s&\s')
+), cut AS (
+  SELECT source, field, id, name, list_filter(list_transform(string_split(array_to_string(list_transform(t, lambda x: CASE WHEN regexp_full_match(x, mark) THEN chr(1) ELSE x END), ''), chr(1)),
+    lambda x: regexp_replace(x, '^[\s\x{{00A0}}]+|[\s\x{{00A0}}]+$', '', 'g')), lambda x: x <> '') AS p
+  FROM toks CROSS JOIN cand WHERE len(list_filter(t, lambda x: regexp_full_match(x, mark))) > 0
+), counted AS (
+  SELECT source, field, id, name, len(p) AS n, len(list_filter(p, lambda x: length(x) <= 90 AND regexp_matches(x, '^[\s\x{{00A0}}•▪*"\[-]*[\p{{L}}\p{{N}}.(]'))) AS ok, max(len(p)) OVER (PARTITION BY id) AS most FROM cut
+), sums AS (
+  SELECT source, field, name, count(*) AS held, count(*) FILTER (WHERE n > 1 AND n = most) AS leads, sum(n) AS pieces, sum(ok) AS regular FROM counted GROUP BY 1, 2, 3
+), rated AS (
+  SELECT source, field, name, held AS support, (leads + 10.0 * (sum(leads) OVER w + 10.0 * belief) / (sum(held) OVER w + 10.0)) / (held + 10.0) AS consistency,
+    (regular + 10.0 * (sum(regular) OVER w + 10.0 * belief) / (sum(pieces) OVER w + 10.0)) / (pieces + 10.0) AS regularity
+  FROM (SELECT *, CASE WHEN name IN ('colon', 'ampersand') THEN 0.3 ELSE 0.9 END AS belief FROM sums) WINDOW w AS (PARTITION BY name)
+)
+SELECT *, consistency >= 0.7 AND regularity >= 0.8 AS accepted FROM rated
+""".format(site=SITE)
+
 ORACLE = {
+    "p6_delimiters": _P6_DELIMITERS,
     "p2_found": f"WITH {_P2_PARTS} SELECT record_no, reason FROM named WHERE reason IS NOT NULL",
     "p2_loaded": f"WITH {_P2_PARTS} SELECT record_no, {', '.join(f'f[{i + 1}] AS {c}' for i, c in enumerate(_P2_COLUMNS))} FROM named WHERE reason IS NULL",
     "p6_found": _P6,
