@@ -23,6 +23,7 @@ empty result; other columns of the inputs are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -108,7 +109,7 @@ def band_keys(tokens: Column, bands: int, rows: int) -> Column:
     def keys(sets: pd.Series) -> pd.Series:
         out = []
         for held in sets:
-            x = np.asarray(held, dtype=np.int64).view(np.uint64)
+            x = np.asarray(held).astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             least = np.full(bands * rows, np.uint64(2**64 - 1))
             for at in range(0, len(x), 4096):  # so that a very long text is not held as a wide table at once
                 h = x[at:at + 4096, None] * factor + shift
@@ -128,6 +129,9 @@ def jaccard(a: Column, b: Column) -> Column:
     return n / (F.size(a) + F.size(b) - n)
 
 
+_BANDS, _SETS = "set_key bigint, band bigint", "set_key bigint, tokens array<int>"
+
+
 class History:
     """The accepted records' band keys and sets, in tables under ``path`` partitioned by bucket."""
 
@@ -145,29 +149,35 @@ class History:
 
     def prepared(self, records: DataFrame, tokens: Column, key: str | None = None, order: list[Column] | None = None) -> DataFrame:
         """(key, at, set_key, tokens) of the records that have tokens; tokens are hashed and sorted."""
-        hashed = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), lambda t: F.xxhash64(t))))
+        short = (lambda t: F.xxhash64(t)) if self.exact else (lambda t: F.hash(t))  # 32 bits do for sets that are compared
+        hashed = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), short)))
         columns = [F.col(key), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order or [])], F.col(key).alias("k")).alias("at")] if key else []
         rows = records.select(*columns, hashed.alias("tokens")).filter(F.size("tokens") > 0)
         return rows.withColumn("set_key", F.xxhash64("tokens"))
 
-    def _write(self, df: DataFrame, name: str) -> None:
+    def _write(self, df: DataFrame, name: str, part: str) -> None:
         # Rebalanced by size, so a large bucket is written by several tasks and small ones share a task.
-        df.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{name}")
+        df.withColumn("part", F.lit(part)).hint("rebalance", "bucket").write.mode("append").partitionBy("part", "bucket").parquet(f"{self.path}/{name}")
 
     def _keep(self, sets: DataFrame) -> None:
-        self._write(self._banded(sets), "bands")
+        """Append the sets and their bands as one part; the bands are made of the written sets, so these are made once."""
+        part = uuid.uuid4().hex
         if not self.exact:
-            self._write(sets.select("set_key", "tokens").withColumn("bucket", self._bucket("set_key")), "sets")
+            self._write(sets.select("set_key", "tokens").withColumn("bucket", self._bucket("set_key")), "sets", part)
+            sets = self._table("sets", _SETS).filter(F.col("part") == part)
+        self._write(self._banded(sets), "bands", part)
 
     def append(self, records: DataFrame, tokens: Column) -> None:
         """Add the keys of accepted records."""
-        rows = self.prepared(records, tokens).dropDuplicates(["set_key"])
-        self._keep(rows if self.exact else stored(rows, "history-sets"))
+        self._keep(self.prepared(records, tokens).dropDuplicates(["set_key"]))
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema + ", part string, bucket int").parquet(f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str, asked: DataFrame) -> DataFrame:
         """The table's rows in the buckets of ``asked``."""
         try:
-            held = self.spark.read.schema(schema + ", bucket int").parquet(f"{self.path}/{name}")
+            held = self._table(name, schema).drop("part")
         except Exception as error:  # nothing accepted yet
             if "PATH_NOT_FOUND" not in str(error):
                 raise
@@ -176,12 +186,15 @@ class History:
         return held.filter(F.col("bucket").isin(hit)) if hit else held.limit(0)
 
     def bands_of(self, asked: DataFrame) -> DataFrame:
-        return self._read("bands", "set_key bigint, band bigint", asked)
+        return self._read("bands", _BANDS, asked)
 
     def _first(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The batch's sets, and (set_key, first, old): the earliest like record of the batch, and whether the history holds one."""
-        sets = rows.groupBy("set_key").agg(F.min("at").alias("at"), *([] if self.exact else [F.first("tokens").alias("tokens")]))
-        sets = stored(sets, "batch-sets")
+        sets = rows.groupBy("set_key").agg(F.min("at").alias("at"))
+        if self.exact:
+            sets = stored(sets, "batch-sets")
+        else:  # the tokens stay in the stored batch; the row of the earliest order holds them
+            sets = rows.join(stored(sets, "batch-sets"), ["set_key", "at"]).dropDuplicates(["set_key"]).select("set_key", "at", "tokens")
         mine = self._banded(sets) if self.exact else stored(self._banded(sets), "batch-bands")
         held = self.bands_of(mine)
         first = sets.select("set_key", F.col("at").alias("first"))
@@ -192,7 +205,7 @@ class History:
         like = lambda pairs, others: pairs.join(tokens, "a").join(others, "b").filter(jaccard(F.col("ta"), F.col("tb")) >= self.threshold)
         met = mine.select(F.col("set_key").alias("a"), "bucket", "band").join(held.select(F.col("set_key").alias("b"), "bucket", "band"), ["bucket", "band"]).select("a", "b").distinct()
         met = stored(met, "met-history")
-        theirs = self._read("sets", "set_key bigint, tokens array<bigint>", met.select(F.pmod("b", F.lit(self.buckets)).cast("int").alias("bucket")))
+        theirs = self._read("sets", _SETS, met.select(F.pmod("b", F.lit(self.buckets)).cast("int").alias("bucket")))
         old = like(met, theirs.select(F.col("set_key").alias("b"), F.col("tokens").alias("tb")).dropDuplicates(["b"])).select(F.col("a").alias("set_key"), F.lit(True).alias("old")).distinct()
         pairs = mine.select(F.col("set_key").alias("a"), "band").join(mine.select(F.col("set_key").alias("b"), "band"), "band").filter("a <> b").select("a", "b").distinct()
         near = like(pairs, sets.select(F.col("set_key").alias("b"), F.col("tokens").alias("tb"), F.col("at").alias("near"))).groupBy(F.col("a").alias("set_key")).agg(F.min("near").alias("near"))
