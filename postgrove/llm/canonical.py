@@ -7,7 +7,7 @@ exact Jaccard decides.  ``map_places`` looks up places with it: the sets are the
 the candidates are verified by edit distance, and the best is kept.
 
 Only distinct texts take part, so a value that fills a third of the rows costs as much as a rare one.  The token
-counts and the list are broadcast only if a count shows at most ``SMALL`` rows; a longer list is joined by key.
+counts and the list are stored once and broadcast only if their bytes are few; a longer list is joined by key.
 
 Defined cases: missing values give no row; a value equal to an entry in city and state gives none either; a value
 with nothing close gives id 0; ties go to the entry whose state agrees, then to the more similar, then to the smaller id;
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from postgrove.contract import known
-from postgrove.session import SMALL, bounded
+from postgrove.session import bounded, stored
 
 THRESHOLD = 0.25
 
@@ -157,7 +157,7 @@ def map_places(rows: DataFrame, places: DataFrame, key: str, city: str = "city",
     entries = places.select("city_id", F.col("city").alias("__c"), F.col("state").alias("__s"), "other_names")
     literal = entries.select("__c", "__s").distinct()
     asked = rows.select(F.col(key), F.col(city).alias("__city"), F.col(state).alias("__state")).filter(known(F.col("__city")).isNotNull())
-    asked = asked.join(bounded(literal), (F.col("__city") == F.col("__c")) & (F.col("__state") == F.col("__s")), "left_anti")
+    asked = asked.join(literal, (F.col("__city") == F.col("__c")) & (F.col("__state") == F.col("__s")), "left_anti")
     texts = asked.groupBy("__city", F.coalesce("__state", F.lit("")).alias("__given")).agg(F.lit(1).alias("__one")).drop("__one")
 
     spelt = entries.select("city_id", F.lower("__s").alias("__s"), F.explode(F.array_compact(F.array("__c", "other_names"))).alias("__n"))
@@ -166,17 +166,21 @@ def map_places(rows: DataFrame, places: DataFrame, key: str, city: str = "city",
     longest = (names.agg(F.max(F.length("__name"))).first()[0] or 0) + 4
 
     # Words that spell a state of the list are no place name ("West Bengal" is not a cut-off Bengaluru).
-    states = [r[0] for r in entries.select(F.lower("__s")).distinct().limit(SMALL).collect() if r[0]]
+    states = sorted(r[0] for r in entries.select(F.lower("__s")).distinct().collect() if r[0])  # of the list, which has many places a state
     plain = plain_words(F.col("__city"))
     if states:
         spelt_states = "|".join(sorted({x for n in [*states, *STATE_CODES] for x in (re.escape(n), re.escape(n.replace(" ", "")))}))
         bare = F.trim(F.regexp_replace(plain, rf"\b(?:{spelt_states})(?: ?india)?\b", " "))
     else:
         bare = plain
-    windows = lambda ws: F.concat(ws, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - 1)), lambda i: F.array_join(F.slice(ws, i, 2), "")))
+    # Runs of as many words as the longest name has, and of two for a name typed in pieces.
+    most = max(2, entries.select(F.explode(F.array_compact(F.array("__c", "other_names"))).alias("n")).agg(F.max(F.size(F.split(plain_words(F.col("n")), " ")))).first()[0] or 0)
+    run = lambda ws, k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - k + 1)), lambda i: F.array_join(F.slice(ws, i, k), ""))
+    windows = lambda ws: F.flatten(F.array(*[run(ws, k) for k in range(1, most + 1)]))
     words = texts.select("__city", "__given", plain.alias("__plain"), bare.alias("__bare")).select(
         "__city", "__given", "__plain", F.explode(F.array_distinct(windows(F.split("__bare", r" +")))).alias("__w")
-    ).filter((F.length("__w") > 2) & (F.length("__w") <= longest))
+    ).filter((F.length("__w") > 0) & (F.length("__w") <= longest))
+    words = stored(words, "asked-words")
     asked_words = words.select("__w").distinct().select("__w", bigrams(squeezed(F.col("__w"))).alias("__b"))
     close = similarity_join(asked_words, names, "__w", "__name", "__b", THRESHOLD)
     near = words.join(close, "__w").join(bounded(spelt), "__name")

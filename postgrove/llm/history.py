@@ -69,32 +69,36 @@ def _got(c: Column, pattern: str) -> Column:
 _WORD = re.compile(r"[^\W_]+")
 
 
-def word_shingles(text: Column, words: int = 5) -> Column:
-    """Distinct runs of five words, as 64-bit numbers; a shorter text is one shingle, one without words has none."""
+class _Numbers(dict):
+    """A piece of a text between blanks -> the numbers of its words."""
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def shingles(texts: pd.Series) -> pd.Series:
+    def __missing__(self, piece: str) -> list[int]:
         import xxhash
 
-        known_: dict[str, int] = {}
-        out = []
+        if len(self) > 200_000:
+            self.clear()
+        self[piece] = out = [xxhash.xxh64_intdigest(w) for w in _WORD.findall(piece)]
+        return out
+
+
+def word_shingles(text: Column, words: int = 5) -> Column:
+    """Distinct runs of five words, as sorted 32-bit numbers; a shorter text is one shingle, one without words has none."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def shingles(texts: pd.Series) -> pd.Series:
+        numbers, out = _Numbers(), []
         for text_ in texts:
-            found = _WORD.findall(text_.lower()) if text_ else []
-            numbers = []
-            for w in found:
-                n = known_.get(w)
-                if n is None:
-                    n = known_[w] = xxhash.xxh64_intdigest(w)
-                numbers.append(n)
-            if len(known_) > 500_000:
-                known_.clear()
-            each = np.array(numbers, dtype=np.uint64)
+            held: list[int] = []
+            for piece in text_.lower().split() if text_ else ():
+                held += numbers[piece]
+            each = np.array(held, dtype=np.uint64)
             size = min(words, len(each))
             mixed = np.zeros(max(0, len(each) - size + 1) if size else 0, dtype=np.uint64)
             for k in range(size):
                 mixed = (mixed ^ each[k:k + len(mixed)]) * np.uint64(0xBF58476D1CE4E5B9)
                 mixed ^= mixed >> np.uint64(31)
-            out.append(np.unique(mixed.view(np.int64)))
+            mixed = np.sort((mixed >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            out.append(mixed[np.append(True, mixed[1:] != mixed[:-1])] if len(mixed) else mixed)
         return pd.Series(out)
 
     return shingles(text)
@@ -150,7 +154,8 @@ class History:
     def prepared(self, records: DataFrame, tokens: Column, key: str | None = None, order: list[Column] | None = None) -> DataFrame:
         """(key, at, set_key, tokens) of the records that have tokens; tokens are hashed and sorted."""
         short = (lambda t: F.xxhash64(t)) if self.exact else (lambda t: F.hash(t))  # 32 bits do for sets that are compared
-        hashed = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), short)))
+        ready = not self.exact and records.select(tokens.alias("t")).dtypes[0][1] == "array<int>"  # as ``word_shingles`` makes them
+        hashed = tokens if ready else F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t.isNotNull()), short)))
         columns = [F.col(key), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order or [])], F.col(key).alias("k")).alias("at")] if key else []
         rows = records.select(*columns, hashed.alias("tokens")).filter(F.size("tokens") > 0)
         return rows.withColumn("set_key", F.xxhash64("tokens"))

@@ -4,8 +4,10 @@ Rates stay as near 1 as possible (relative entropy) under a token constraint for
 its share of the total.  The optimum is ``min(cap, exp(lambda x tokens))``, one multiplier for each source, and the
 multipliers solve the convex dual.  Newton's steps are distributed: each is one aggregate over the (source, length)
 histogram, which gives the gradient and curvature for all sources at once; a bracket keeps a step that overshoots inside.
-Rates become copies by adding a uniform number drawn from a hash of the key and cutting: unbiased, repeatable, never above
-the cap.
+Rates become copies by systematic rounding: within a source the documents stand in the order of their sizes, their rates
+are summed up, and a document gets as many copies as whole numbers (from one random start) fall into its stretch.  That is
+unbiased, repeatable and never above the cap, and the rounding errors of documents of like size cancel.  The sums run
+within parts of a source (sizes of one magnitude, split by a hash of the key), whose totals are then added up.
 
 The total is ``FILL`` of the largest for which no source needs more than its cap allows; at the limit itself every rate of
 the scarcest source would be its cap and its multiplier infinite.  Targets of sources without documents are shared
@@ -19,13 +21,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postgrove.session import stored
 
 FILL = 0.95
 ROUNDS = 60
 TOLERANCE = 1e-4
+PARTS = 16
 
 
 def source_name(c: Column) -> Column:
@@ -82,11 +85,24 @@ def mix(documents: DataFrame, weights: DataFrame, key: str, source: str, size: C
     solved = solve(histogram, {s: shares[s] * total for s in shares}, caps, means)
     table = spark.createDataFrame([(s, solved[s], caps[s], means[s]) for s in solved], "source string, lam double, cap double, mean double")
     rate = F.when(F.col("lam").isNull(), 0.0).otherwise(F.least(F.col("cap"), F.exp(F.least(F.lit(700.0), F.col("lam") * F.col("tokens") / F.col("mean")))))
-    uniform = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(2**40)) / float(2**40)
-    return (
-        sized.join(F.broadcast(table), "source", "left").select(F.col(key), "source", "tokens", rate.alias("rate"))
-        .withColumn("copies", F.floor(F.col("rate") + uniform).cast("int"))
-    )
+    rated = sized.join(F.broadcast(table), "source", "left").select(F.col(key), "source", "tokens", rate.alias("rate"))
+    return systematic(rated, key, seed)
+
+
+def systematic(rated: DataFrame, key: str, seed: int) -> DataFrame:
+    """The rows with ``copies``; the sum of a source's copies is within one of the sum of its rates."""
+    rows = rated.withColumn("__m", F.floor(2 * F.log2(F.col("tokens") + 1)).cast("int")).withColumn("__h", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+    totals = rows.groupBy("source", "__m", "__h").agg(F.sum("rate").alias("__t"))  # sources x magnitudes x PARTS
+    before = F.sum("__t").over(Window.partitionBy("source").orderBy("__m", "__h").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(F.col("source").alias("__s"), F.col("__m").alias("__om"), F.col("__h").alias("__oh"), F.coalesce(before, F.lit(0.0)).alias("__before"))
+    w = Window.partitionBy("source", "__m", "__h").orderBy("tokens", F.xxhash64(F.lit(seed), F.col(key)), key)
+    upto = rows.withColumn("__upto", F.sum("rate").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    held = upto.join(offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__m") == F.col("__om")) & (F.col("__h") == F.col("__oh")))
+    start = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("source", F.lit(""))), F.lit(2**40)) / float(2**40)
+    end = F.col("__before") + F.col("__upto") + start
+    # Sums of floats: a whole rate keeps its whole number of copies.
+    copies = F.floor(end + 1e-9) - F.floor(end - F.col("rate") + 1e-9)
+    return held.select(key, "source", "tokens", "rate", F.least(copies, F.ceil("rate")).cast("int").alias("copies"))
 
 
 def mixture_report(mixed: DataFrame, weights: DataFrame) -> DataFrame:

@@ -173,3 +173,36 @@ def test_linkage(spark):
     assert all(0.5 <= r.confidence <= 1 for r in out)
     assert link(a.filter("false"), b, "id", "pid", f, f).count() == 0
     assert math.isclose(float(expectation_maximisation([(4, 4), (1, 0)], [50, 50])[0]), 1.0, abs_tol=0.05)
+
+
+def test_names_of_three_words_and_of_two_letters(spark):
+    ref = spark.createDataFrame([(1, "Old Stone Bridge", "Kerala", None), (2, "Au", "Bihar", None), (3, "Pune", "Maharashtra", None)], "city_id bigint, city string, state string, other_names string")
+    cases = [("old stone brigde, Kerala", 1), ("Near Old Stone Bridge 4 days ago", 1), ("oldstone bridge", 1), ("AU", 2), ("Pune", 3), ("xy", 0)]
+    got = {r.id: r.city_id for r in map_places(spark.createDataFrame([(i, c, None) for i, (c, _) in enumerate(cases)], "id int, city string, state string"), ref, "id").collect()}
+    assert got == {i: w for i, (_, w) in enumerate(cases)}
+
+
+def test_bounded_goes_by_bytes(spark, monkeypatch):
+    from postgrove import session
+
+    df = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    hinted = lambda: "ResolvedHint" in session.bounded(df)._jdf.queryExecution().analyzed().toString()
+    assert hinted()
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 10_000)
+    assert not hinted()
+
+
+def test_pairing_is_the_cheapest_and_anchored_beyond(monkeypatch):
+    from postgrove.llm import survivor
+
+    rng = random.Random(12)
+    cost = lambda p, a, b: sum(i is None or j is None or not a[i] & b[j] for i, j in p)
+    for _ in range(200):
+        a, b = ([{rng.choice("abcdef")} for _ in range(rng.randrange(8))] for _ in range(2))
+        exact, cut = survivor.pairing(a, b), None
+        assert cost(exact, a, b) == cost(survivor._table(a, b), a, b)
+        with monkeypatch.context() as m:
+            m.setattr(survivor, "CELLS", 4)
+            cut = survivor.pairing(a, b)
+        for p in (exact, cut):  # every column once, in order
+            assert [i for i, _ in p if i is not None] == list(range(len(a))) and [j for _, j in p if j is not None] == list(range(len(b)))
