@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    A machine-local temporary folder is made only where the setting is absent, as in tests on one machine.
+    Where it is unset, a machine-local temporary folder is made on a single machine (master ``local``), as in tests; on a
+    cluster that would lose data silently, so it is an error there.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="postgrove-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -32,20 +36,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows up to which a small side may be broadcast.
-SMALL = 100_000
+#: Bytes of Parquet up to which a stored table may be broadcast.
+BROADCAST_BYTES = 4 << 20
 
 
-def bounded(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """The frame with a broadcast hint if a count shows at most ``most`` rows; else as it is, to be joined by key."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def bounded(df: DataFrame) -> DataFrame:
+    """The frame stored, so it is computed once, with a broadcast hint if its files are at most ``BROADCAST_BYTES``; a larger one is joined by key."""
+    held = stored(df, "bounded")
+    size = int(str(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(held) if size <= BROADCAST_BYTES else held
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written once as Parquet in the shared folder and read back: cuts lineage, survives the loss of executors."""
-    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Written once as Parquet in the shared folder and read back: cuts lineage, survives the loss of executors.
+
+    The files go when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
