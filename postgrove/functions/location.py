@@ -63,52 +63,6 @@ CITY_STATE = {
     "Faridabad": "Haryana", "Gurgaon": "Haryana", "Gurugram": "Haryana", "Hyderabad": "Telangana", "Jaipur": "Rajasthan", "Kolkata": "West Bengal", "Lucknow": "Uttar Pradesh",
     "Mumbai": "Maharashtra", "Noida": "Uttar Pradesh", "Pune": "Maharashtra", "Ranchi": "Jharkhand", "Visakhapatnam": "Andhra Pradesh",
 }
-_NAMES = [
-    "Andhra Pradesh", "Arunachal Pradesh", "Assam", "Bihar", "Chhattisgarh", "Goa", "Gujarat", "Haryana", "Himachal Pradesh", "Jharkhand", "Karnataka", "Kerala",
-    "Madhya Pradesh", "Maharashtra", "Manipur", "Meghalaya", "Mizoram", "Nagaland", "Odisha", "Punjab", "Rajasthan", "Sikkim", "Tamil Nadu", "Telangana", "Tripura",
-    "Uttar Pradesh", "Uttarakhand", "West Bengal", "Delhi", "Jammu and Kashmir", "Ladakh", "Puducherry", "Chandigarh", "Andaman and Nicobar Islands",
-    "Dadra and Nagar Haveli and Daman and Diu", "Lakshadweep",
-]
-#: State codes of the normalizer; those of the dashboard's hubs (``STATES``) differ.
-STATE_CODES = {
-    "KA": "Karnataka", "TN": "Tamil Nadu", "MH": "Maharashtra", "DL": "Delhi", "TG": "Telangana", "TS": "Telangana", "HR": "Haryana", "UP": "Uttar Pradesh", "WB": "West Bengal",
-    "GJ": "Gujarat", "KL": "Kerala", "AP": "Andhra Pradesh", "MP": "Madhya Pradesh", "RJ": "Rajasthan", "PB": "Punjab", "OR": "Odisha", "OD": "Odisha", "CH": "Chandigarh",
-    "JH": "Jharkhand", "UT": "Uttarakhand", "UK": "Uttarakhand", "AS": "Assam", "BR": "Bihar", "GA": "Goa", "HP": "Himachal Pradesh", "JK": "Jammu and Kashmir", "PY": "Puducherry",
-    "TR": "Tripura", "ML": "Meghalaya", "MN": "Manipur", "NL": "Nagaland", "MZ": "Mizoram", "AR": "Arunachal Pradesh", "SK": "Sikkim", "CG": "Chhattisgarh",
-}
-#: The map's states by id; two more ids in use follow.
-MAP_STATES = {
-    "an": "Andaman and Nicobar Islands", "ap": "Andhra Pradesh", "ar": "Arunachal Pradesh", "as": "Assam", "br": "Bihar", "ch": "Chandigarh", "ct": "Chhattisgarh", "dn": "Dadra and Nagar Haveli",
-    "dd": "Daman and Diu", "dl": "Delhi", "ga": "Goa", "gj": "Gujarat", "hr": "Haryana", "hp": "Himachal Pradesh", "jk": "Jammu and Kashmir", "jh": "Jharkhand", "ka": "Karnataka", "kl": "Kerala",
-    "ld": "Lakshadweep", "mp": "Madhya Pradesh", "mh": "Maharashtra", "mn": "Manipur", "ml": "Meghalaya", "mz": "Mizoram", "nl": "Nagaland", "or": "Odisha", "py": "Puducherry", "pb": "Punjab",
-    "rj": "Rajasthan", "sk": "Sikkim", "tn": "Tamil Nadu", "tg": "Telangana", "tr": "Tripura", "up": "Uttar Pradesh", "ut": "Uttarakhand", "wb": "West Bengal",
-    "od": "Odisha", "ts": "Telangana",
-}
-#: Metro hubs and the label of each, in order.
-METROS = [
-    ("bengaluru|bangalore", "Bengaluru, Karnataka"), ("hyderabad", "Hyderabad, Telangana"), ("pune", "Pune, Maharashtra"), ("mumbai", "Mumbai, Maharashtra"),
-    ("chennai", "Chennai, Tamil Nadu"), ("noida", "Noida, Delhi NCR"), ("gurugram|gurgaon", "Gurugram, Delhi NCR"), ("delhi", "Delhi NCR"), ("kolkata", "Kolkata, West Bengal"),
-]
-#: The hubs and the names each goes by, for the strict city filter.
-HUBS = {
-    "bengaluru": ["bengaluru", "bangalore"], "chennai": ["chennai"], "hyderabad": ["hyderabad"], "pune": ["pune", "pimpri"], "mumbai": ["mumbai", "navi mumbai", "thane"],
-    "delhi": ["delhi", "noida", "gurugram", "gurgaon", "new delhi", "delhi ncr", "ghaziabad", "greater noida"], "kolkata": ["kolkata", "calcutta"], "coimbatore": ["coimbatore"],
-    "ahmedabad": ["ahmedabad", "gandhinagar"], "kochi": ["kochi", "cochin", "ernakulam"], "thiruvananthapuram": ["thiruvananthapuram", "trivandrum"], "jaipur": ["jaipur"],
-    "chandigarh": ["chandigarh", "mohali", "panchkula"], "indore": ["indore"], "bhopal": ["bhopal"], "lucknow": ["lucknow"], "nagpur": ["nagpur"], "surat": ["surat"],
-    "vadodara": ["vadodara", "baroda"], "rajkot": ["rajkot"], "visakhapatnam": ["visakhapatnam", "vizag"], "bhubaneswar": ["bhubaneswar"], "patna": ["patna"],
-    "dehradun": ["dehradun"], "madurai": ["madurai"], "mysuru": ["mysuru", "mysore"], "mangaluru": ["mangaluru", "mangalore"], "salem": ["salem"], "tiruppur": ["tiruppur"],
-    "tiruchirappalli": ["tiruchirappalli", "trichy"], "warangal": ["warangal"], "guwahati": ["guwahati"], "goa": ["goa", "panaji"], "gwalior": ["gwalior"], "kanpur": ["kanpur"],
-    "prayagraj": ["prayagraj", "allahabad"], "varanasi": ["varanasi"], "agra": ["agra"], "nashik": ["nashik"], "aurangabad": ["aurangabad", "chhatrapati sambhajinagar"],
-    "udaipur": ["udaipur"], "hubballi": ["hubballi", "hubli", "dharwad"], "belagavi": ["belagavi", "belgaum"], "itanagar": ["itanagar"], "jharsuguda": ["jharsuguda"],
-    "ramban": ["ramban"], "hosur": ["hosur"], "tumakuru": ["tumakuru"], "kozhikode": ["kozhikode", "calicut"], "vijayawada": ["vijayawada"], "ranchi": ["ranchi", "jamshedpur"],
-}
-#: Places abroad that make a location mixed.
-ABROAD = ["dubai", "kuwait", "united arab emirates", "uae", "canada", "singapore", "omaha", "usa", "australia"]
-#: The state of a city where only the city is given.
-CITY_STATE = {
-    "bengaluru": "Karnataka", "bangalore": "Karnataka", "chennai": "Tamil Nadu", "coimbatore": "Tamil Nadu", "hyderabad": "Telangana", "mumbai": "Maharashtra", "pune": "Maharashtra",
-    "kolkata": "West Bengal", "noida": "Uttar Pradesh", "gurugram": "Haryana", "gurgaon": "Haryana", "ahmedabad": "Gujarat", "jaipur": "Rajasthan", "kochi": "Kerala",
-}
 _NAMES = "|".join(re.escape(n) for n in sorted(STATE_NAMES, key=len, reverse=True))
 
 

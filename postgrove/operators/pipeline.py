@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from postgrove.contract import CSV_FIELDS, ENRICH_MISSING, NOT_SPECIFIED, missing, ns
+from postgrove.contract import CSV_FIELDS, ENRICH_MISSING, NOT_SPECIFIED, missing, ns, trimmed
 from postgrove.functions.experience import experience_range
 from postgrove.functions.education import degree_list, normalize_education
 from postgrove.functions.location import repair_fields, split_location
 from postgrove.functions.skills import extract_skills
 from postgrove.functions.source import site
 from postgrove.functions.text import clean, fallback_job_id, first_value, joined_skills, strip_html
+from postgrove.session import shared_dir
 
 #: The names each field goes by in raw postings, first non-blank wins.
 ALIASES = {
@@ -112,3 +113,38 @@ def run_report(collected: DataFrame, source: str, valid: Column) -> DataFrame:
 
 def by_site(df: DataFrame) -> DataFrame:
     return df.groupBy(F.coalesce(site(F.col("source")), F.lit("unknown")).alias("site")).agg(F.count("*").alias("n"))
+
+
+#: Asked places that leave every row in.
+ANYWHERE = ["", "india", "all india", "remote", "any", "not specified"]
+
+
+def located(df: DataFrame, place: str, states: dict[str, str]) -> DataFrame:
+    """The rows of an asked place, by city, link or description; their city becomes the asked one, an unset state and country are filled.
+
+    A place that is none (``ANYWHERE``) leaves the rows as they are.
+    """
+    p = place.strip().lower()
+    if p in ANYWHERE:
+        return df
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    text = low("full_description")
+    told = F.lit(False)
+    for mark in (f"location :{p}", f"location: {p}", f"in {p}"):
+        told = told | text.contains(mark)
+    hit = low("city").contains(p) | low("link").contains(p) | told | F.left(text, F.lit(400)).contains(p)
+    unset = lambda c: trimmed(F.coalesce(F.col(c), F.lit(""))).isin("", NOT_SPECIFIED)
+    state = next((s for c, s in states.items() if c.lower() == p), None)
+    out = df.filter(hit).withColumn("city", F.lit(place.strip().title()))
+    if state:
+        out = out.withColumn("state", F.when(unset("state"), state).otherwise(F.col("state")))
+    return out.withColumn("country", F.when(unset("country"), "India").otherwise(F.col("country")))
+
+
+def append_row(held: DataFrame, row: dict, name: str) -> DataFrame:
+    """A table in the shared folder with one more row, appended as a file of its own, read back."""
+    spark = held.sparkSession
+    at = f"{shared_dir(spark)}/{name}"
+    held.write.mode("append").parquet(at)
+    spark.createDataFrame([tuple(row.get(f.name) for f in held.schema)], held.schema).write.mode("append").parquet(at)
+    return spark.read.schema(held.schema).parquet(at)
