@@ -13,7 +13,7 @@ from postgrove.llm.mixing import mix, mixture_report
 from postgrove.llm.packing import pack, pack_histogram
 from postgrove.llm.queries import ORACLE, QUERIES
 from postgrove.llm.spam import ALONE, curves, score_pages, spam_pages
-from postgrove.llm.tokens import VOCABULARY, token_count
+from postgrove.llm.tokens import VOCABULARY, Sizes, token_count
 
 
 def total(scores, kept, opening):
@@ -148,6 +148,16 @@ def test_token_count(spark):
     assert {r.i: r.n for r in df.collect()} == {i: len(t.encode(x or "", add_special_tokens=False).ids) for i, x in enumerate(texts)}
 
 
+@pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary file")
+def test_sizes_by_word_are_those_of_the_whole_text():
+    sizes, rng = Sizes(VOCABULARY), random.Random(6)
+    assert sizes.by_word
+    letters = " \n\t\u00a0ab'sé1²½.,-<|endoftext|>\u2028"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(14)))
+        assert sizes.text(text) == sizes.whole(text), repr(text)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs_and_matches_sql(spark, sf, name):
     import sys
