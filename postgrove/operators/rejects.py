@@ -1,11 +1,11 @@
 """Rows that fail to parse: strict load, anti-join on offsets, diagnosis of the remainder.
 
 ``strict_load`` keeps the records that are sound comma-separated text with the contract's number of fields and
-valid values; ``rejects`` subtracts their offsets from the raw offsets and names the fault of what is left.
+valid values; ``rejects`` subtracts their offsets and texts from the raw ones and names the fault of what is left.
 
 Defined cases: a null record is rejected as ``column_count`` (it has no field); an empty text too; a byte-order
-mark in front is dropped; repeated records with one offset share their fate; a null offset is never matched by
-the anti-join, so such a sound row has no fault and appears in neither output; extra columns of the input are
+mark in front is dropped; records with one offset, or with none, are told apart by
+their texts, and each faulty one is reported.
 kept by ``strict_load`` under their own names behind the contract's, a name that clashes with a contract column
 gets the prefix ``raw_``.
 
@@ -58,14 +58,14 @@ def _valid(job_id: str, link: str, text: str) -> Column:
 
 def rejects(raw: DataFrame, offset: str = "record_no", record: str = "raw_record", fields: list[str] = CSV_FIELDS) -> DataFrame:
     """(offset, reason) of every faulty record: ``quoting``, else ``column_count``, else ``invalid_value``."""
-    loaded = strict_load(raw.select(F.col(offset).alias("__at"), record), record, fields).select("__at")
-    left = raw.select(F.col(offset).alias("__at"), _body(F.col(record)).alias("__body")).join(loaded, "__at", "left_anti")
+    # A record is its offset and its text, so a repeated or missing offset hides no faulty record behind a sound one.
+    keyed = raw.select(F.col(offset).alias("__at"), F.col(record).alias("__raw"), F.xxhash64(record).alias("__h"))
+    loaded = strict_load(keyed, "__raw", fields).select(F.col("__at").alias("__lat"), F.col("__h").alias("__lh"))
+    left = keyed.select("__at", "__h", _body(F.col("__raw")).alias("__body")).join(loaded, (F.col("__h") == F.col("__lh")) & F.col("__at").eqNullSafe(F.col("__lat")), "left_anti")
     sound = F.col("__body").rlike(SOUND)
-    # A record whose offset is null cannot be subtracted; its values decide.
     whole = (F.size("__f") == len(fields)) & (F.length(F.col("__body")) > 0)
     diagnosed = left.withColumn("__f", F.when(sound, _fields(F.col("__body"))))
     reason = (
-        F.when(F.col("__body").isNull(), "column_count").when(~sound, "quoting").when(~whole, "column_count")
-        .when(F.col("__at").isNotNull(), "invalid_value")
+        F.when(F.col("__body").isNull(), "column_count").when(~sound, "quoting").when(~whole, "column_count").otherwise("invalid_value")
     )
-    return diagnosed.select(F.col("__at").alias(offset), reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return diagnosed.select(F.col("__at").alias(offset), reason.alias("reason"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 from operator import or_
@@ -12,7 +13,9 @@ from postgrove.contract import known, missing, trimmed
 from postgrove.functions.cards import absolute_url, card_experience, clean_place, last_day, title_from_link
 from postgrove.functions.degrees import explicit_degrees, text_without_degrees
 from postgrove.functions.experience import experience_number
-from postgrove.functions.location import CITY_STATE, MAP_STATES, PLACE_GARBAGE, strict_city
+from postgrove.functions.category import BODY_RULES, TITLE_RULES
+from postgrove.functions.location import CITY_STATE, MAP_STATES, PLACE_GARBAGE, STATES, strict_city
+from postgrove.functions.skills import CANONICAL, IGNORED, REPORTED
 from postgrove.functions.source import site
 from postgrove.operators import pipeline, quality
 from postgrove.plans import dashboard, postings
@@ -279,3 +282,46 @@ def final_status(spark, d):
 
 
 ORACLE["final_status"] = f"SELECT bool_and(broken = 0) AS passed, count(*) AS checks FROM ({postings.ORACLE['dq_audit_summary']})"
+
+
+# SQL of the dashboard and posting queries that rest on rule lists -----------------------------------------------------
+
+def _cases(text: str, rules: list[tuple[str, str]]) -> str:
+    return " ".join(f"WHEN regexp_matches({text}, '{p}') THEN '{label}'" for label, p in rules)
+
+
+_BLOB = "lower(concat_ws(' ', skills, full_description))"
+_CATEGORY = f"CASE {_cases("lower(coalesce(title, ''))", TITLE_RULES)} {_cases(_BLOB, BODY_RULES)} ELSE 'Other' END"
+_REPORTED = ", ".join(f"('{s}', '(^|[^a-z0-9_]){re.escape(s.lower())}($|[^a-z0-9_])')" for s in REPORTED)
+_NAMED = f"SELECT j.row_id, {_CATEGORY} AS category, r.skill FROM jobs j JOIN (VALUES {_REPORTED}) r(skill, mark) ON regexp_matches({_BLOB}, r.mark)"
+ORACLE["category_distribution"] = f"SELECT category, count(*) AS n, CAST(round(100.0 * count(*) / sum(count(*)) OVER ()) AS INTEGER) AS pct FROM (SELECT {_CATEGORY} AS category FROM jobs) GROUP BY 1"
+ORACLE["category_top_skills"] = f"""SELECT category, skill, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, skill) AS r
+  FROM (SELECT category, skill, count(*) AS n FROM ({_NAMED}) GROUP BY 1, 2)) WHERE r <= 8"""
+ORACLE["skill_tier_rank"] = f"""SELECT skill, n, pct, CASE WHEN i < 3 OR pct >= 45 THEN 'core' WHEN i >= 7 THEN 'differentiator' ELSE 'growth' END AS tier FROM (
+  SELECT skill, n, CAST(round(100.0 * n / (SELECT count(*) FROM jobs)) AS INTEGER) AS pct, row_number() OVER (ORDER BY n DESC, skill) - 1 AS i FROM (SELECT skill, count(*) AS n FROM ({_NAMED}) GROUP BY 1)) WHERE i < 10"""
+_CODES = ", ".join(f"('{k}', '{v}')" for k, v in STATES.items())
+ORACLE["top_hubs"] = f"""WITH m(k, v) AS (VALUES {_CODES}), j AS (SELECT trim(coalesce(city, '')) AS c, trim(coalesce(state, '')) AS s FROM jobs),
+  t AS (SELECT c, s, trim(CASE WHEN upper(c) LIKE '%, IN' THEN left(c, length(c) - 4) WHEN upper(c) LIKE '%, INDIA' THEN left(c, length(c) - 7) ELSE c END) AS token FROM j),
+  h AS (SELECT t.c, t.s, t.token, a.v AS code, coalesce(b.v, t.s) AS whole FROM t LEFT JOIN m a ON a.k = upper(t.token) LEFT JOIN m b ON b.k = upper(t.s)),
+  p AS (SELECT *, concat_ws(', ', CASE WHEN token NOT IN ('', 'Not Specified') THEN token END, CASE WHEN whole NOT IN ('', 'Not Specified', 'India') AND whole <> token THEN whole END) AS pair FROM h)
+SELECT hub, count(*) AS n FROM (SELECT CASE WHEN contains(lower(c), 'remote') OR contains(lower(s), 'remote') THEN 'Remote' WHEN regexp_matches(lower(c), 'bengaluru|bangalore') THEN 'Bengaluru, Karnataka'
+  WHEN contains(lower(c), 'hyderabad') THEN 'Hyderabad, Telangana' WHEN contains(lower(c), 'pune') THEN 'Pune, Maharashtra' WHEN contains(lower(c), 'mumbai') THEN 'Mumbai, Maharashtra' WHEN contains(lower(c), 'chennai') THEN 'Chennai, Tamil Nadu'
+  WHEN contains(lower(c), 'noida') THEN 'Noida, Delhi NCR' WHEN regexp_matches(lower(c), 'gurugram|gurgaon') THEN 'Gurugram, Delhi NCR' WHEN contains(lower(c), 'delhi') THEN 'Delhi NCR' WHEN contains(lower(c), 'kolkata') THEN 'Kolkata, West Bengal'
+  WHEN upper(token) IN ('CT', 'CT, INDIA') THEN 'Pan-India (Flexible)' WHEN code = 'India' THEN 'India (Not Specified)' WHEN code IS NOT NULL THEN code WHEN pair <> '' THEN pair ELSE 'India (Not Specified)' END AS hub FROM p)
+WHERE hub <> 'India (Not Specified)' GROUP BY 1 ORDER BY n DESC, hub LIMIT 8"""
+_F = lambda c: f"TRY_CAST({trim(c)} AS DOUBLE)"
+_LO, _HI = "min_experience_years", "max_experience_years"
+ORACLE["dq_experience_problems"] = " UNION ALL ".join(f"SELECT row_id, '{text}' AS problem FROM jobs WHERE {rule}" for text, rule in (
+    ("minimum is not a number", f"NOT {lost(_LO)} AND {_F(_LO)} IS NULL"), ("maximum is not a number", f"NOT {lost(_HI)} AND {_F(_HI)} IS NULL"),
+    ("minimum above 100", f"{_F(_LO)} > 100"), ("maximum above 100", f"{_F(_HI)} > 100"), ("minimum exceeds maximum", f"{_F(_LO)} > {_F(_HI)}"),
+))
+ORACLE["skills_joined"] = f"""SELECT row_id, CASE WHEN len(s) = 0 OR s IS NULL THEN 'Not Specified' ELSE array_to_string(list_filter(s, lambda x, i: list_position(list_transform(s, lambda y: lower(y)), lower(x)) = i), '; ') END AS skills
+  FROM (SELECT row_id, list_filter(list_transform(string_split_regex(skills, '[,;|]'), lambda x: {trim('x')}), lambda x: x <> '') AS s FROM jobs)"""
+_MAP = ", ".join(f"('{k}', '{v}')" for k, v in CANONICAL.items())
+_IGNORED = ", ".join(f"'{w}'" for w in IGNORED)
+_SCOPED = f"""SELECT key, min(skill) AS skill, count(*) AS n FROM (SELECT row_id, lower(skill) AS key, min(skill) AS skill FROM (
+  SELECT i.row_id, coalesce(m.v, upper(left(i.item, 1)) || substr(i.item, 2)) AS skill FROM (SELECT row_id, {trim('x')} AS item FROM (SELECT row_id, unnest(string_split_regex(skills, '[,;|/]')) AS x FROM jobs)) i
+  LEFT JOIN (VALUES {_MAP}) m(k, v) ON m.k = lower(i.item) WHERE length(i.item) >= 2 AND lower(i.item) NOT IN ({_IGNORED})) GROUP BY 1, 2) GROUP BY 1"""
+ORACLE["scope_skills_dedup"] = f"SELECT skill, n, CAST(least(100, round(100.0 * n / (SELECT count(*) FROM jobs))) AS INTEGER) AS pct FROM ({_SCOPED})"
+ORACLE["skill_donut_others"] = f"""WITH s AS ({_SCOPED}), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, skill) AS i FROM s)
+SELECT skill, n FROM r WHERE i <= 5 UNION ALL SELECT 'Others', CAST(sum(n) AS BIGINT) FROM r WHERE i > 5 HAVING sum(n) > 0"""

@@ -151,3 +151,10 @@ def test_a_delimiter_must_earn_its_place(spark):
         got.setdefault(r.id, []).append(r.item)
     assert got[0] == ["Alpha0 & Beta", "Gamma0", "Delta & Rho", "Tau"] and got[1000] == ["Alpha0", "Beta", "Gamma"] and got[2000] == ["Smith, John0", "Doe", "Roe", "Poe"]
     assert 4000 not in got and 4001 not in got and got[4002] == ["One", "Two"]
+
+
+def test_a_repeated_or_missing_offset_hides_nothing(spark):
+    good, bad = line(GOOD), line(["a:1", *GOOD[1:]])
+    df = spark.createDataFrame([(1, good), (1, bad), (1, good), (None, good), (None, bad), (2, "x,y"), (2, None)], "record_no int, raw_record string")
+    got = sorted(((r.record_no, r.reason) for r in rejects(df).collect()), key=str)
+    assert got == sorted([(1, "invalid_value"), (None, "invalid_value"), (2, "column_count"), (2, "column_count")], key=str)
