@@ -63,9 +63,9 @@ def enrich(df: DataFrame) -> DataFrame:
 
 
 def first_occurrence(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """One row for each key, the first in a total order."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+    """One row for each key, the first in a total order; combined before the shuffle, nothing is sorted."""
+    best = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    return df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]).agg(best.alias("__row")).select("__row.*")
 
 
 def losers(df: DataFrame, key: list[Column], order: list[Column]) -> DataFrame:

@@ -4,8 +4,8 @@
 valid values; ``rejects`` subtracts their offsets and texts from the raw ones and names the fault of what is left.
 
 Defined cases: a null record is rejected as ``column_count`` (it has no field); an empty text too; a byte-order
-mark in front is dropped; records with one offset, or with none, are told apart by
-their texts, and each faulty one is reported.
+mark in front is dropped; records with one offset, or with none, are told apart by their texts, and each faulty one is
+reported, with a null offset where it has none; extra columns of the input are
 kept by ``strict_load`` under their own names behind the contract's, a name that clashes with a contract column
 gets the prefix ``raw_``.
 

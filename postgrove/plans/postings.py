@@ -426,7 +426,7 @@ def stream_dedup(spark, d):
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_tumbling(spark, d):
     s = streams.tumbling(_events(spark, d), "ts", "1 hour", "40 days", ["event_type"])
-    out = streams.run_to_end(s, f"{shared_dir(spark)}/ck-{uuid.uuid4().hex}", "complete")
+    out = streams.run_to_end(s, f"{shared_dir(spark)}/ck-{uuid.uuid4().hex}", "update", keys=["start", "event_type"])
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 

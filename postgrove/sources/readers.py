@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.contract import CSV_FIELDS, ns
@@ -72,7 +74,11 @@ def age_bucket(hours: Column) -> Column:
 
 
 class KeyedTable:
-    """A Parquet table rewritten by key: append, upsert, mirror; each write goes to a new version, then the pointer moves."""
+    """A Parquet table by key: append, upsert, mirror.
+
+    Every write adds a folder of files; a manifest for each version names the folders that make it up.  So an append
+    writes only its own rows, and a reader sees the version whose manifest is there, never half of a write.
+    """
 
     def __init__(self, spark: SparkSession, path: str, key: str, schema: T.StructType = CONTRACT):
         self.spark, self.path, self.key, self.schema = spark, path.rstrip("/"), key, schema
@@ -85,17 +91,29 @@ class KeyedTable:
     def _version(self) -> int:
         fs, path = self._fs()
         at = path(self.path)
-        if not fs.exists(at):
-            return 0
-        done = [int(s.getPath().getName()[1:]) for s in fs.listStatus(at) if s.getPath().getName()[:1] == "v" and fs.exists(path(s.getPath(), "_SUCCESS"))]
-        return max(done, default=0)
+        names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+        return max((int(n[1:]) for n in names if n[:1] == "m"), default=0)
 
-    def read(self) -> DataFrame:
+    def folders(self) -> list[str]:
+        """The folders of the present version."""
         v = self._version()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v}") if v else self.spark.createDataFrame([], self.schema)
+        return sorted(r.value for r in self.spark.read.text(f"{self.path}/m{v}").collect()) if v else []
 
-    def _write(self, df: DataFrame) -> None:
-        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/v{self._version() + 1}")
+    def read(self) -> DataFrame:
+        held = self.folders()
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in held]) if held else self.spark.createDataFrame([], self.schema)
+
+    def _write(self, df: DataFrame, beside: list[str]) -> None:
+        """The rows as one more folder, and a version of it and the folders ``beside``."""
+        fs, path = self._fs()
+        folder, v = f"rows-{uuid.uuid4().hex}", self._version() + 1
+        df.select(*self.schema.names).write.parquet(f"{self.path}/{folder}")
+        draft = path(f"{self.path}/.m{v}-{folder}")
+        out = fs.create(draft)
+        out.writeBytes("\n".join([*beside, folder]) + "\n")
+        out.close()
+        if not fs.rename(draft, path(f"{self.path}/m{v}")):
+            raise RuntimeError(f"another writer made version {v}")
 
     def append(self, rows: DataFrame, order: list[Column]) -> int:
         """Rows with a key, the first of each key in the batch; earlier versions are not looked at.  Returns rows added."""
@@ -104,20 +122,20 @@ class KeyedTable:
         kept = first_occurrence(rows.filter(F.length(F.trim(F.col(self.key))) > 0), [self.key], order)
         n = kept.count()
         if n:
-            self._write(self.read().unionByName(kept.select(*self.schema.names)))
+            self._write(kept, self.folders())
         return n
 
     def upsert(self, rows: DataFrame) -> None:
         from postgrove.operators.pipeline import upsert
 
-        self._write(upsert(self.read(), rows.select(*self.schema.names), self.key))
+        self._write(upsert(self.read(), rows.select(*self.schema.names), self.key), [])
 
     def mirror(self, rows: DataFrame) -> dict[str, int]:
         """The table becomes the rows; returns how many were inserted, updated, deleted, kept."""
         from postgrove.operators.pipeline import mirror
 
         counts = {r.action: r.n for r in mirror(self.read(), rows, self.key).groupBy("action").agg(F.count("*").alias("n")).collect()}
-        self._write(rows)
+        self._write(rows, [])
         return counts
 
     def reset(self) -> None:
