@@ -9,15 +9,17 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from postgrove.contract import known, missing, trimmed
+from postgrove.contract import QUALITY_MISSING, known, missing, trimmed
 from postgrove.functions.cards import absolute_url, card_experience, clean_place, last_day, title_from_link
 from postgrove.functions.degrees import explicit_degrees, text_without_degrees
-from postgrove.functions.experience import experience_number
+from postgrove.functions.experience import clean_experience, experience_number, is_number, url_experience
 from postgrove.functions.category import BODY_RULES, TITLE_RULES
 from postgrove.functions.location import CITY_STATE, MAP_STATES, PLACE_GARBAGE, STATES, strict_city
-from postgrove.functions.skills import CANONICAL, IGNORED, REPORTED
+from postgrove.functions.skills import CANONICAL, IGNORED, REPORTED, names_skill
 from postgrove.functions.source import site
-from postgrove.operators import pipeline, quality
+from postgrove.functions.text import id_from_url, parse_bool, split_list
+from postgrove.operators import ml, pipeline, quality
+from postgrove.operators.search import any_like
 from postgrove.plans import dashboard, postings
 from postgrove.plans.sqltext import GARBAGE_PLACE, SITE, cleaned, known as sql_known, lost, number, trim
 from postgrove.session import spread, table
@@ -325,3 +327,71 @@ _SCOPED = f"""SELECT key, min(skill) AS skill, count(*) AS n FROM (SELECT row_id
 ORACLE["scope_skills_dedup"] = f"SELECT skill, n, CAST(least(100, round(100.0 * n / (SELECT count(*) FROM jobs))) AS INTEGER) AS pct FROM ({_SCOPED})"
 ORACLE["skill_donut_others"] = f"""WITH s AS ({_SCOPED}), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, skill) AS i FROM s)
 SELECT skill, n FROM r WHERE i <= 5 UNION ALL SELECT 'Others', CAST(sum(n) AS BIGINT) FROM r WHERE i > 5 HAVING sum(n) > 0"""
+
+
+# Functions over whole columns -----------------------------------------------------------------------------------------
+
+@query(r"""SELECT row_id, coalesce(nullif(regexp_extract(link, '[?&]jobId=(\d+)', 1), ''), nullif(regexp_extract(link, '/view/(?:[^/?#]*-)?(\d+)', 1), ''), nullif(regexp_extract(link, '-(\d{6,})(?:[/?#]|$)', 1), ''),
+  nullif(regexp_extract(link, '[?&]currentJobId=(\d+)', 1), ''), regexp_extract_all(link, '\d{5,}')[-1]) AS ad FROM jobs""")
+def ids_from_links(spark, d):
+    return jobs(spark, d).select("row_id", id_from_url(F.col("link")).alias("ad"))
+
+
+_YEARLESS = f"trim(regexp_replace({cleaned('min_experience_years')}, '(?i)\\s*(years?|yrs?)\\b\\.?', '', 'g'))"
+
+
+@query(rf"SELECT row_id, CASE WHEN regexp_full_match(v, '\d+(\.\d+)?\+?') AND TRY_CAST(replace(v, '+', '') AS DOUBLE) <= 100 THEN v ELSE 'Not Specified' END AS least FROM (SELECT row_id, {_YEARLESS} AS v FROM jobs)")
+def clean_experience_field(spark, d):
+    return jobs(spark, d).select("row_id", clean_experience(F.col("min_experience_years")).alias("least"))
+
+
+@query(r"SELECT posting_id, nullif(regexp_extract(url, '(?i)[-/](\d+)-to-(\d+)-years?(?:[-/]|$)', 1), '') AS low, nullif(regexp_extract(url, '(?i)[-/](\d+)-to-(\d+)-years?(?:[-/]|$)', 2), '') AS high FROM raw_postings")
+def experience_from_links(spark, d):
+    x = url_experience(F.col("url"))
+    return table(spark, d, "raw_postings").select("posting_id", x["low"].alias("low"), x["high"].alias("high"))
+
+
+@query(r"SELECT row_id, skill FROM jobs, (VALUES ('Python', '(?i)\bPython\b'), ('C++', '(?i)\bC\+\+\b'), ('.NET', '(?i)\b\.NET\b'), ('SQL', '(?i)\bSQL\b')) s(skill, mark) WHERE regexp_matches(coalesce(skills, '') || ' ' || coalesce(full_description, ''), mark)")
+def skill_word_filter(spark, d):
+    """Postings that name a skill between word ends."""
+    text = F.concat_ws(" ", F.coalesce("skills", F.lit("")), F.coalesce("full_description", F.lit("")))
+    held = F.array_compact(F.array(*[F.when(names_skill(text, s), F.lit(s)) for s in ("Python", "C++", ".NET", "SQL")]))
+    return jobs(spark, d).select("row_id", F.explode(held).alias("skill"))
+
+
+@query("SELECT row_id FROM jobs WHERE skills ILIKE '%spark%' OR title ILIKE '%spark%'")
+def skill_or_title_filter(spark, d):
+    return jobs(spark, d).filter(any_like("spark", "skills", "title")).select("row_id")
+
+
+@query(f"SELECT Batch_CSV_File, list_filter(list_transform(string_split(Keywords, ','), lambda x: {trim('x')}), lambda x: x <> '') AS items FROM extraction_history")
+def comma_items(spark, d):
+    return table(spark, d, "extraction_history").select("Batch_CSV_File", split_list(F.col("Keywords")).alias("items"))
+
+
+@query(f"SELECT row_id, {lost('min_experience_years')} AS missing, {lost('min_experience_years')} OR TRY_CAST({trim('min_experience_years')} AS DOUBLE) IS NOT NULL AS number FROM jobs")
+def missing_and_number(spark, d):
+    c = F.col("min_experience_years")
+    return jobs(spark, d).select("row_id", missing(c, QUALITY_MISSING).alias("missing"), is_number(c).alias("number"))
+
+
+@query(f"""SELECT hub, count(*) AS n FROM (SELECT CASE WHEN contains({trim('city')}, ',') THEN split_part({trim('city')}, ',', 1) ELSE {trim('city')} END AS hub FROM jobs WHERE city IS NOT NULL) GROUP BY 1""")
+def short_labels(spark, d):
+    """Places shortened to what stands before the first comma."""
+    return jobs(spark, d).filter("city IS NOT NULL").groupBy(F.substring_index(trimmed(F.col("city")), ",", 1).alias("hub")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT count(*) FILTER (WHERE r) AS by_rule, count(*) FILTER (WHERE NOT r AND c >= 0.6) AS by_model, count(*) FILTER (WHERE NOT r AND c < 0.6) AS low, round(avg(c), 9) AS mean_confidence, min(c) AS least, max(c) AS most
+  FROM (SELECT {sql_known('degree_required')} AS r, (row_id % 101) / 100.0 AS c FROM jobs)""")
+def prediction_mix_share(spark, d):
+    """What a rule decides, what a model decides surely, and the rest."""
+    rows = jobs(spark, d).select((~missing(F.col("degree_required"))).alias("r"), ((F.col("row_id") % 101) / 100.0).alias("c"))
+    mix = ml.prediction_mix(rows, "r", "c")
+    return mix.withColumn("mean_confidence", F.round("mean_confidence", 9))
+
+
+@query(f"SELECT archive_id, lower({trim('source')}) IN ('1', 'true', 'yes', 'y', 'on') AS flag, TRY_CAST({trim('min_experience_years')} AS INTEGER) AS whole FROM (SELECT archive_id, CASE archive_id % 5 WHEN 0 THEN ' Yes' WHEN 1 THEN 'OFF' WHEN 2 THEN '1' WHEN 3 THEN 'no ' ELSE 'true' END AS source, min_experience_years FROM batch_archive)")
+def flags_and_whole_numbers(spark, d):
+    text = F.element_at(F.array(*map(F.lit, (" Yes", "OFF", "1", "no ", "true"))), (F.col("archive_id") % 5 + 1).cast("int"))
+    n = trimmed(F.col("min_experience_years"))
+    return table(spark, d, "batch_archive").select("archive_id", parse_bool(text).alias("flag"), F.when(n.rlike(r"^[-+]?\d+(?:\.\d*)?$"), F.round(n.try_cast("double"))).cast("int").alias("whole"))
