@@ -15,7 +15,7 @@ from postgrove.functions.degrees import explicit_degrees, text_without_degrees
 from postgrove.functions.experience import clean_experience, experience_number, is_number, url_experience
 from postgrove.functions.category import BODY_RULES, TITLE_RULES
 from postgrove.functions.location import CITY_STATE, MAP_STATES, PLACE_GARBAGE, STATES, strict_city
-from postgrove.functions.skills import CANONICAL, IGNORED, REPORTED, names_skill
+from postgrove.functions.skills import CANONICAL, CATALOG, IGNORED, REPORTED, names_skill
 from postgrove.functions.source import site
 from postgrove.functions.text import id_from_url, parse_bool, split_list
 from postgrove.operators import ml, pipeline, quality
@@ -395,3 +395,22 @@ def flags_and_whole_numbers(spark, d):
     text = F.element_at(F.array(*map(F.lit, (" Yes", "OFF", "1", "no ", "true"))), (F.col("archive_id") % 5 + 1).cast("int"))
     n = trimmed(F.col("min_experience_years"))
     return table(spark, d, "batch_archive").select("archive_id", parse_bool(text).alias("flag"), F.when(n.rlike(r"^[-+]?\d+(?:\.\d*)?$"), F.round(n.try_cast("double"))).cast("int").alias("whole"))
+
+
+# SQL over the skill catalogue -----------------------------------------------------------------------------------------
+
+_NAMES = ", ".join(
+    f"({i}, {k}, '{category}', '{skill}', '{name}', '(^|[^a-z0-9_]){re.escape(name)}($|[^a-z0-9_])')"
+    for i, (category, skill, names) in enumerate((c, s, n) for c, skills in CATALOG.items() for s, n in skills.items()) for k, name in enumerate(names)
+)
+
+
+def _catalogued(text: str) -> str:
+    """(row_id, i, category, skill, evidence): the first name found of each skill of the catalogue."""
+    return f"SELECT row_id, i, category, skill, arg_min(name, k) AS evidence FROM (SELECT row_id, lower({text}) AS low FROM jobs) JOIN (VALUES {_NAMES}) n(i, k, category, skill, name, mark) ON regexp_matches(low, mark) GROUP BY ALL"
+
+
+ORACLE["skill_evidence"] = f"SELECT row_id, category, skill, evidence FROM ({_catalogued('skills')})"
+ORACLE["skill_extract_catalog"] = f"""SELECT j.row_id, coalesce(s.skills, 'Not Specified') AS skills FROM jobs j LEFT JOIN
+  (SELECT row_id, string_agg(skill, ', ' ORDER BY i) AS skills FROM ({_catalogued('full_description')}) GROUP BY 1) s USING (row_id)"""
+ORACLE["skills_after_label"] = r"""SELECT row_id, s AS skills FROM (SELECT row_id, trim(regexp_extract(full_description, '(?is)\b(?:key\s+|required\s+|technical\s+)?skills?\s*:\s*(.+?)(?:\n|\.\s+(?-i:[A-Z])|$)', 1), ' ') AS s FROM jobs) WHERE s <> ''"""

@@ -95,7 +95,10 @@ def parse_experience_text(spark, d):
 
 @query()
 def experience_reviews(spark, d):
-    return spread(jobs(spark, d), "row_id").select("row_id", review_reason(F.col("full_description"), F.col("min_experience_years"), F.col("max_experience_years"), F.col("link")).alias("reason")).filter("reason <> ''")
+    """What should be looked at in the figures of the second raw shape, whose texts hold them."""
+    text = F.concat_ws(". ", "job_description_summary", F.concat(F.lit("Experience: "), F.col("experience")))
+    low, high = F.regexp_extract("experience", r"(\d+\+?)", 1), F.regexp_extract("experience", r"\d\D+(\d+\+?)", 1)
+    return table(spark, d, "raw_postings").select("posting_id", review_reason(text, low, high, F.col("url")).alias("reason")).filter("reason <> ''")
 
 
 @query()

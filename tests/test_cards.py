@@ -70,3 +70,12 @@ def test_located_and_state_hubs(spark):
     assert got == {1: ("Pune", "Maharashtra", "India"), 2: ("Pune", "Delhi", "India"), 3: ("Pune", "x", "y"), 4: ("Pune", "Maharashtra", "India")}
     assert pipeline.located(df, " All India ", CITY_STATE).count() == len(rows)
     assert [r.id for r in df.filter(search.in_state(" KARNATAKA ")).collect()] == [6]
+
+
+def test_review_messages(spark):
+    from postgrove.functions.experience import REVIEW, review_reason
+
+    cases = [("2 years of SQL and 3 years of Java", "2", "3", "u", "many"), ("needs 4 years", None, None, "u", "unbound"), ("no figure", "5", "3", "u", "order"), ("no figure", "5+", "7", "u", "malformed"),
+             ("2 to 5 years", None, None, "https://x/a-3-to-6-years-1", "link"), ("2 to 5 years", "3", "5", "u", "fields"), ("2 to 5 years", "2", "5", "https://x/a-2-to-5-years-1", None), ("", "9", "1", "u", None), (None, None, None, None, None)]
+    got = values(spark, *[review_reason(*[F.lit(x).cast("string") for x in c[:4]]) for c in cases])
+    assert got == [REVIEW[c[4]] if c[4] else "" for c in cases]
